@@ -68,7 +68,7 @@ def plain(text: str) -> str:
         return text
     text = re.sub(r"(?<=10)[⁻⁰¹²³⁴⁵⁶⁷⁸⁹]+", lambda m: "^" + m[0].translate(_RAISED), text)
     text = text.replace("º", "°").replace("˚", "°")
-    return re.sub("[​-‍⁠﻿]", "", unicodedata.normalize("NFKC", text).replace("µ", "μ"))
+    return re.sub("[\u200b-\u200d\u2060\ufeff]", "", unicodedata.normalize("NFKC", text).replace("µ", "μ"))
 
 
 @lru_cache(4096)

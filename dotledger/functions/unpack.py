@@ -15,7 +15,7 @@ DELIMITERS = (";", "|", "\n", "\r", "\t", "；", "、", "，", "｜")
 SPACED_DELIMITERS = ("+", "/", "&", "and", "AND", "And")
 
 _BLANKS = (0x20, 0x0B, 0x0C)
-_WIDE_BLANKS = (" ", "　", " ", " ", "﻿")
+_WIDE_BLANKS = ("\u00a0", "\u3000", "\u2009", "\u202f", "\ufeff")
 
 
 def _find(data: np.ndarray, needle: bytes) -> np.ndarray:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dotledger.llm.bpe import encode_corpus
+from dotledger.llm.lookalikes import consistent_text
 from dotledger.llm.mixing import mix_sources
 from dotledger.llm.oversized import split_oversized
 from dotledger.plans.session import read_table
@@ -20,6 +21,21 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(read_table(spark, folder, "cos_tokenize"), "chunk_uid", "text")
 
 
+def _looked_at(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame, str, str]]:
+    columns = {"letter_table": ("row_uid", "CDs_Naming_in_Paper"), "decisions": ("sent_uid", "text"), "documents": ("doc_id", "text")}
+    return [(t, read_table(spark, folder, t), *c) for t, c in columns.items()]
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose text holds look-alike characters that the consistent form replaces."""
+    return consistent_text(_looked_at(spark, folder), changed_only=True).select("src", "row_id")
+
+
+def p5_text(spark: SparkSession, folder: str) -> DataFrame:
+    """All names and texts in their consistent form."""
+    return consistent_text(_looked_at(spark, folder))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The token ids of every document."""
     return encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text")
@@ -35,4 +51,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
