@@ -41,7 +41,7 @@ _RUN = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯＡ-Ｚａ-ｚ̀-ͯ{INVISIB
 #: Where the rewriter has to look at all; everything else is passed on as it is.
 SUSPECT = "[\\u00ad\\u00a0\\u0132\\u0133\\u0300-\\u036f\\u0370-\\u03bf\\u03c1-\\u03ff\\u0400-\\u052f\\u180e\\u2000-\\u2011\\u202f\\u205f-\\u2064\\u2126\\u212a\\u212b\\u3000\\ufb00-\\ufb06\\ufeff\\uff10-\\uff19\\uff21-\\uff3a\\uff41-\\uff5a]"
 _MIXED = re.compile("[A-Za-z][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z]")
-_SUSPECT_RE2 = SUSPECT.replace("\\u", "\\x{").replace("-\\x{", "}-\\x{")
+_SUSPECT_RE2 = re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", SUSPECT)
 
 
 def _script(ch: str) -> str:

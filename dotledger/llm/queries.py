@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dotledger.llm.bpe import encode_corpus
 from dotledger.llm.lookalikes import consistent_text
 from dotledger.llm.mixing import mix_sources
+from dotledger.llm.names import map_names, unmatched_values
 from dotledger.llm.oversized import split_oversized
 from dotledger.plans.session import read_table
 
@@ -21,6 +22,21 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(read_table(spark, folder, "cos_tokenize"), "chunk_uid", "text")
 
 
+def _mapped(spark: SparkSession, folder: str) -> DataFrame:
+    columns = {"letter_table": ("row_uid", "CDs_Naming_in_Paper"), "decisions": ("sent_uid", "LLM_name")}
+    return map_names([(t, read_table(spark, folder, t), *c) for t, c in columns.items()], read_table(spark, folder, "sample_registry"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry entry that each typed sample name means, or -1."""
+    return _mapped(spark, folder).select("src", "row_id", "name_id")
+
+
+def p3_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed names that mean no entry, with their frequency."""
+    return unmatched_values(_mapped(spark, folder))
+
+
 def _looked_at(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame, str, str]]:
     columns = {"letter_table": ("row_uid", "CDs_Naming_in_Paper"), "decisions": ("sent_uid", "text"), "documents": ("doc_id", "text")}
     return [(t, read_table(spark, folder, t), *c) for t, c in columns.items()]
@@ -51,4 +67,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
