@@ -9,7 +9,7 @@ from dotledger.llm.lookalikes import consistent_text
 from dotledger.llm.mixing import mix_sources
 from dotledger.llm.names import map_names, unmatched_values
 from dotledger.llm.oversized import split_oversized
-from dotledger.llm.scans import scan_damage
+from dotledger.llm.scans import repaired_text, scan_damage
 from dotledger.plans.session import read_table
 
 
@@ -25,7 +25,12 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """The distinct damages of scanned documents."""
-    return scan_damage(read_table(spark, folder, "documents"))[0]
+    return scan_damage(read_table(spark, folder, "documents"))
+
+
+def p2_text(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, scanned ones as continuous paragraphs."""
+    return repaired_text(read_table(spark, folder, "documents"))
 
 
 def _mapped(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,4 +78,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}

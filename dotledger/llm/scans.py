@@ -62,6 +62,7 @@ def line_windows(df: DataFrame, key: str, text: str) -> DataFrame:
     again = F.count("*").over(Window.partitionBy("doc_id", "mask")) > 1
     edge: Column = F.coalesce(F.lag("kind").over(order), F.when(F.lag("pos").over(order).isNull(), F.lit("edge"))).isNotNull()
     edge = edge | F.coalesce(F.lead("kind").over(order), F.when(F.lead("pos").over(order).isNull(), F.lit("edge"))).isNotNull()
+    edge = edge | F.col("line").contains("\f") | F.coalesce(F.lag("line").over(order).contains("\f"), F.lit(False)) | F.coalesce(F.lead("line").over(order).startswith("\f"), F.lit(False))
     running = F.coalesce((F.col("kind") == "page") | ((F.col("kind") == "form") & (edge | again)), F.lit(False))
     flagged = lines.select("doc_id", "pos", "line", running.alias("running"))
     return flagged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "line", "running"))).alias("lines"))
@@ -227,14 +228,15 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
 
     `words` has (word, before, after): each word with its neighbours, as often as it stands.
     """
-    strange = words.groupBy("word").agg(F.count("*").alias("m"), F.collect_set("before").alias("before"), F.collect_set("after").alias("after"))
-    strange = strange.join(known.filter("n >= 2").select("word"), "word", "left_anti").filter((F.length("word") > 1) & ~F.col("word").contains("-"))
+    counted = words.groupBy("word").agg(F.count("*").alias("m")).filter((F.length("word") > 1) & ~F.col("word").contains("-"))
+    # Undamaged text has most words more often than the scans, which are the smaller part.
+    strange = counted.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n < m").select("word", "m", F.col("n").alias("own"))
 
     def with_skeleton(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([skeleton(w) for w in batch.column(0).to_pylist()], pa.string())], [*batch.schema.names, "bones"])
 
-    seen = strange.select("word", "m").mapInArrow(with_skeleton, "word string, m bigint, bones string")
+    seen = strange.mapInArrow(with_skeleton, "word string, m bigint, own bigint, bones string")
     base = known.filter((F.col("n") >= LEAST) & (F.length("word") > 1) & ~F.col("word").contains("-") & ~F.col("word").rlike("\\d"))
     right = base.select(F.col("word"), F.col("n")).mapInArrow(with_skeleton, "word string, n bigint, bones string").withColumnRenamed("word", "right")
 
@@ -243,9 +245,17 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
             costs = [confusions(r, w) for w, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(costs, pa.int32())], [*batch.schema.names, "cost"])
 
-    pairs = seen.join(right, "bones").filter(F.col("n") >= RATIO * F.col("m") / 2).select("word", "right", "n", "m").mapInArrow(verify, "word string, right string, n bigint, m bigint, cost int").filter(f"cost <= {MOST_CONFUSIONS}")
+    frequent = (F.col("n") >= RATIO * F.col("m") / 2) & ((F.col("own") == 0) | (F.col("n") >= 20 * (F.col("own") + F.col("m"))))
+    pairs = seen.join(right, "bones").filter(frequent).select("word", "right", "n", "m").mapInArrow(verify, "word string, right string, n bigint, m bigint, cost int").filter(f"cost <= {MOST_CONFUSIONS}")
+    least = Window.partitionBy("word")
+    pairs = cut(pairs.withColumn("least", F.min("cost").over(least)).filter("cost = least").drop("least"))
+    # Support: how many of the word's neighbours the form has elsewhere.
+    sides = words.select("word", F.concat(F.lit("<"), "before").alias("near")).unionAll(words.select("word", F.concat(F.lit(">"), "after").alias("near"))).filter("length(near) > 1").distinct()
+    theirs = pairs.select("word", "right").join(sides, "word")
+    support = theirs.join(sides.withColumnRenamed("word", "right"), ["right", "near"], "left_semi").groupBy("word", "right").agg(F.count("*").alias("support"))
+    pairs = pairs.join(support, ["word", "right"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
     same = (F.col("word").rlike("^\\p{Lu}") == F.col("right").rlike("^\\p{Lu}")) | F.col("word").rlike("^\\d")
-    best = F.max_by("right", F.struct(-F.col("cost"), same, F.col("n"), F.col("right")))
+    best = F.max_by("right", F.struct(same, F.col("support"), F.col("n"), F.col("right")))
     chosen = pairs.groupBy("word").agg(best.alias("right"))
     # The word keeps its case.
     upper, lower = F.col("word").rlike("^\\p{Lu}"), F.col("word").rlike("^\\p{Ll}")
@@ -253,23 +263,53 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
     return chosen.select("word", F.concat(first, F.expr("substring(right, 2)")).alias("right"))
 
 
-def scan_damage(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows (doc_id, kind, item) of the distinct damages, rows (doc_id, lines) of the wrapped texts).
-
-    kind join: a word parted at a line's end, as a whole; char: a word with misread characters, put right; line: a running
-    header, footer or page number as it stands. Null, empty and unwrapped texts give no row; they supply the known words.
-    """
+def _settled(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Lines of the wrapped texts, their facts, the whole words of parted ones, the right words of misread ones."""
     ship_package(df.sparkSession)
     lined = cut(line_windows(df, key, text))
     known = cut(count_words(df.filter(F.col(text).isNotNull() & ~F.col(text).rlike(WRAPPED)), text))
     facts = cut(_facts(lined))
     parts = cut(_settle_parts(facts, known))
-    parted = facts.filter("kind in ('part', 'soft')").join(parts, ["a", "b"])
+    return lined, facts, parts, cut(_settle_words(_all_words(facts, parts), known))
+
+
+def _all_words(facts: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (doc_id, word, before, after) of all words, parted ones as a whole."""
     words = facts.filter("kind = 'word'").select("doc_id", F.col("a").alias("word"), "before", "after")
-    whole = parted.select("doc_id", F.col("item").alias("word"), F.lit("").alias("before"), F.lit("").alias("after"))
-    every = words.unionAll(whole)
-    rights = cut(_settle_words(every, known))
+    whole = facts.filter("kind in ('part', 'soft')").join(parts, ["a", "b"]).select("doc_id", F.col("item").alias("word"), F.lit("").alias("before"), F.lit("").alias("after"))
+    return words.unionAll(whole)
+
+
+def repaired_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, text, repaired boolean): every text, the wrapped ones as continuous paragraphs.
+
+    Null and unwrapped texts come as they are.
+    """
+    lined, facts, parts, rights = _settled(df, key, text)
+    entries = lambda a, b: F.map_from_entries(F.collect_set(F.struct(a, b)))
+    by_doc = _all_words(facts, parts).join(rights, "word").groupBy("doc_id").agg(entries("word", "right").alias("words"))
+    by_part = facts.filter("kind in ('part', 'soft')").join(parts, ["a", "b"]).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b", "item")).alias("parts"))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.to_pydict()
+            texts = [_plain(reflow(lines), {(p["a"], p["b"]): p["item"] for p in parts or ()}, dict(words or ())) for lines, words, parts in zip(x["lines"], x["words"], x["parts"])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([True] * len(texts))], ["doc_id", "text", "repaired"])
+
+    done = lined.join(by_doc, "doc_id", "left").join(by_part, "doc_id", "left").select("doc_id", "lines", "words", "parts").mapInArrow(plain, "doc_id bigint, text string, repaired boolean")
+    rest = df.filter(F.col(text).isNull() | ~F.col(text).rlike(WRAPPED)).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.lit(False).alias("repaired"))
+    return rest.unionAll(done)
+
+
+def scan_damage(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, kind, item) of the distinct damages.
+
+    kind join: a word parted at a line's end, as a whole; char: a word with misread characters, put right; line: a running
+    header, footer or page number as it stands. Null, empty and unwrapped texts give no row; they supply the known words.
+    """
+    _, facts, parts, rights = _settled(df, key, text)
+    parted = facts.filter("kind in ('part', 'soft')").join(parts, ["a", "b"])
     put_right = parted.join(rights.withColumnRenamed("word", "item"), "item", "left").select("doc_id", F.lit("join").alias("kind"), F.coalesce("right", "item").alias("item"))
-    chars = every.join(rights, "word").select("doc_id", F.lit("char").alias("kind"), F.col("right").alias("item"))
+    chars = _all_words(facts, parts).join(rights, "word").select("doc_id", F.lit("char").alias("kind"), F.col("right").alias("item"))
     running = facts.filter("kind = 'line' and a <> ''").select("doc_id", "kind", F.col("a").alias("item"))
-    return running.unionAll(put_right).unionAll(chars).distinct(), lined
+    return running.unionAll(put_right).unionAll(chars).distinct()
