@@ -10,6 +10,7 @@ from dotledger.llm.mixing import mix_sources
 from dotledger.llm.names import map_names, unmatched_values
 from dotledger.llm.oversized import split_oversized
 from dotledger.llm.scans import repaired_text, scan_damage
+from dotledger.llm.sentences import sentence_ends
 from dotledger.plans.session import read_table
 
 
@@ -63,6 +64,13 @@ def p5_text(spark: SparkSession, folder: str) -> DataFrame:
     return consistent_text(_looked_at(spark, folder))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The end of every sentence of blocks and documents."""
+    columns = {"blocks": "block_uid", "documents": "doc_id"}
+    texts = [(t, read_table(spark, folder, t), c, "text") for t, c in columns.items()]
+    return sentence_ends(texts, read_table(spark, folder, "decisions"), ["pdf_name", "para_global_id"], "sent_global_id", "text")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The token ids of every document."""
     return encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text")
@@ -78,4 +86,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}

@@ -44,14 +44,14 @@ _TITLE = rf"^{_TITLE_WORD}(?:\s+{_TITLE_WORD})+,?\s+\d{{1,4}}(?:\s*\(\d{{4}}\))?
 
 
 def line_windows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (doc_id, lines array<struct<pos int, line string, running boolean>>) of wrapped texts, lines in reading order.
+    """Rows (doc_id, lines array<struct<pos int, line string, running boolean>>) of wrapped texts, lines with their ends in reading order.
 
     A line is running if it is a page number, or if it has a header's form and its mask recurs in the document, or it stands
     beside a break: the text's edge, a blank line, a page number or another header. Texts that aren't wrapped give no row.
     """
     docs = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("t")).filter(F.col("t").rlike(WRAPPED))
-    lines = docs.select("doc_id", F.posexplode(F.split("t", "\r?\n")).alias("pos", "line"))
-    bare = F.trim(F.regexp_replace("line", "[\\f\\u00a0\\t\\r]", " "))
+    lines = docs.select("doc_id", F.posexplode(F.split("t", "(?<=\n)")).alias("pos", "line"))
+    bare = F.trim(F.regexp_replace("line", "[\\f\\u00a0\\t\\r\\n]", " "))
     lines = lines.withColumn("x", bare)
     page = F.col("x").rlike(_PAGE) | F.col("x").rlike(_ROMAN)
     form = (F.length("x") < 90) & (F.col("x").rlike(_CAPITALS) | F.col("x").rlike(_WIDE) | F.col("x").rlike(_TITLE))
