@@ -114,15 +114,17 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
         for batch in batches:
-            counts.update(_TOKEN.findall("\n\n".join(batch.column(0).to_pylist())))
+            for w, n in Counter(_TOKEN.findall("\n\n".join(batch.column(0).to_pylist()))).items():
+                counts[w] += n
+                if "-" in w:
+                    for part in w.split("-"):
+                        counts[part] += n
             if len(counts) > HELD:
                 yield emit()
                 counts.clear()
         yield emit()
 
-    whole = texts.select(F.col(text).alias("t")).filter("t is not null").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    parts = whole.filter("instr(word, '-') > 0").select(F.explode(F.split("word", "-")).alias("word"), "n")
-    return whole.unionAll(parts).groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("word").rlike("\\p{L}"))
+    return texts.select(F.col(text).alias("t")).filter("t is not null").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def reflow(lines: list[dict]) -> list[list]:
