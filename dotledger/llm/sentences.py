@@ -47,7 +47,7 @@ ABBREVIATIONS = (
 )
 #: Quotations that don't end the sentence they stand in; the bar is the place.
 QUOTED = ("「はい。」|と答えた。", "「なぜ？」|と聞いた。", "「そうです！」|と書いてある。", "『いいえ。』|と彼は言った。", "“好。”|他这样说。", "“为什么？”|他问道。", "“对！”|她说。", "«Да!» |сказал он.", "“Yes!” |she said.", '"Why?" |he asked.')
-ABBREVIATION_WEIGHT, QUOTED_WEIGHT = 6, 200
+ABBREVIATION_WEIGHT, QUOTED_WEIGHT = 6, 400
 _AFTER = {"latin": ("Velani", "Smith said", "5", "12 and"), "cyrillic": ("Яровика", "Петров сообщил", "5"), "arabic": ("فلاني", "علي إن"), "indic": ("वेलानी", "शर्मा ने")}
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
 _REPORT = re.compile(r"と|[^。！？，、\s]{0,8}?这?样?(?:问|说|写|道|表示|回答)道?[。！？]")
