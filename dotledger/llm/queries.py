@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dotledger.llm.abuse import abuse_rates, abuse_scores
 from dotledger.llm.bpe import encode_corpus
 from dotledger.llm.lookalikes import consistent_text
 from dotledger.llm.mixing import mix_sources
@@ -86,4 +87,19 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(read_table(spark, folder, "documents"), read_table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual passage."""
+    return abuse_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "content_labels")).filter("abusive").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's score."""
+    return abuse_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "content_labels"))
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The rate of such documents per source."""
+    return abuse_rates(abuse_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "content_labels"), ["source"]))
+
+
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_text": p5_text, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
