@@ -30,7 +30,7 @@ HELD = 200_000
 #: What scanners confuse, (right, seen).
 CONFUSIONS = (
     ("e", "c"), ("c", "e"), ("o", "0"), ("s", "5"), ("l", "1"), ("i", "1"), ("l", "i"), ("i", "l"), ("d", "cl"), ("cl", "d"), ("h", "b"), ("b", "h"), ("h", "li"), ("li", "h"), ("m", "rn"), ("rn", "m"), ("in", "m"), ("m", "in"),
-    ("ni", "m"), ("nn", "m"), ("g", "9"), ("q", "9"), ("b", "6"), ("w", "vv"), ("u", "ii"), ("ii", "u"), ("n", "ii"), ("tt", "n"), ("ri", "n"), ("n", "ri"), ("ti", "n"), ("u", "n"), ("n", "u"), ("z", "2"), ("b", "8"), ("t", "l"), ("a", "4"),
+    ("ni", "m"), ("g", "9"), ("q", "9"), ("b", "6"), ("w", "vv"), ("u", "ii"), ("ii", "u"), ("n", "ii"), ("tt", "n"), ("ri", "n"), ("n", "ri"), ("ti", "n"), ("u", "n"), ("n", "u"), ("z", "2"), ("b", "8"), ("t", "l"), ("a", "4"),
 )
 #: Strokes of glyphs, so that both sides of every confusion have the same; other letters stand for themselves.
 _STROKES = str.maketrans({"1": "l", "i": "l", "t": "l", "r": "l", "n": "ll", "u": "ll", "h": "ll", "b": "ll", "6": "ll", "8": "ll", "m": "lll", "d": "cl", "e": "c", "0": "o", "5": "s", "9": "g", "q": "g", "w": "vv", "2": "z", "4": "a", "ı": "l"})
