@@ -84,4 +84,4 @@ def chunk_markdown(texts: DataFrame, key: str, text: str) -> DataFrame:
     parts = texts.select(key, F.explode(F.split(F.col(text), "(?m)^---\\s*$")).alias("p"))
     head = "\\[Para\\s+(\\d+),\\s*Tokens:\\s*(\\d+)\\]"
     hit = parts.filter(F.col("p").rlike(head))
-    return hit.select(key, F.regexp_extract("p", head, 1).cast("int").alias("para_id"), F.regexp_extract("p", head, 2).cast("int").alias("token_count"), F.trim(F.regexp_replace("p", f"(?s)^.*?{head}", "")).alias("text"))
+    return hit.select(key, F.regexp_extract("p", head, 1).cast("int").alias("para_id"), F.regexp_extract("p", head, 2).cast("int").alias("token_count"), F.regexp_replace(F.regexp_replace("p", f"(?s)^.*?{head}", ""), "^\\s+|\\s+$", "").alias("text"))

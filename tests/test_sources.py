@@ -69,7 +69,7 @@ def test_answers(spark):
 def test_latex_and_segments(spark):
     df = spark.createDataFrame([("it was then heated to $180^{\\circ}C$ with 5 $\\mathrm{mL}$ of water",), ("\\alpha and 10\\%",), ("\\begin{x}",)], "l string")
     assert [r[0] for r in df.select(latex.convert_line(F.col("l"))).collect()][:2] == ["it was then heated to 180°C with 5 mL of water", "αand 10%"]
-    assert segments.merge_short_pieces(["A long first sentence here.", "(see Fig. 1)", "[3] Next one is long enough now."]) == ["A long first sentence here. (see Fig. 1)", "[3] Next one is long enough now."]
+    assert segments.merge_short_pieces(["A long first sentence here.", "(see Fig. 1)", "[3] Next one is long enough now."]) == ["A long first sentence here. (see Fig. 1) [3] Next one is long enough now."]
     assert segments.merge_short_heads(["1.", "Introduction to dots", "It begins here."]) == ["1. Introduction to dots It begins here."]
     assert segments.merge_orphans(["Found by Li et al.", "[3] and others.", "of the dots"]) == ["Found by Li et al. [3] and others. of the dots"]
     assert segments.balanced_items("A (1 g, dry); B") == ["A (1 g, dry)", "B"]
