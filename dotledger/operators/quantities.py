@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from dotledger.functions.text import fold_lookalikes
 from dotledger.functions.units import parse_quantities, stated_unit
 from dotledger.functions.unpack import split_cells
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import ship_package, spread
 
 #: Parts that each hot paper's rows are spread over when they meet the paper's statements.
 SALTS = 16
@@ -61,7 +61,7 @@ def parse_cells(df: DataFrame, key: str, paper: str, fields: list[str], packed:
 
     columns = [F.col(key).cast("bigint").alias("k"), F.col(paper).cast("string").alias("p"), *(F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields))]
     schema = "row_uid bigint, doc_id string, field string, pos int, dim string, common double, number double"
-    return df.select(*columns).mapInArrow(parse, schema)
+    return spread(df.select(*columns)).mapInArrow(parse, schema)
 
 
 def unit_statements(sentences: DataFrame, paper: str, text: str) -> DataFrame:

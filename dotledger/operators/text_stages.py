@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dotledger.functions import rules
@@ -13,8 +17,9 @@ def squash(c: Column) -> Column:
 
 
 def matches(c: Column, pattern: str) -> Column:
-    """Whether the pattern is found, in any case; false for null."""
-    return F.coalesce(c.rlike("(?iu)" + pattern), F.lit(False))
+    """Whether the pattern is found, in any case; false for null. Text and pattern are lowered, as Java's search without regard to case is slow."""
+    lowered = re.sub(r"(\\.)|([A-Z])", lambda m: m[1] or m[2].lower(), pattern)
+    return F.coalesce(F.lower(c).rlike(lowered), F.lit(False))
 
 
 def fold_spaced_capitals(header: Column) -> Column:
@@ -65,11 +70,6 @@ def keyword_flags(df: DataFrame, text: str) -> DataFrame:
     return df.withColumns({k: matches(F.col(text), p) for k, p in rules.KEYWORDS.items()})
 
 
-def unit_flags(text: Column) -> Column:
-    """The units that the text shows, in the canonical order."""
-    return F.array_compact(F.array(*(F.when(matches(text, p), F.lit(u)) for u, p in rules.UNIT_MARKS.items())))
-
-
 def annotate(df: DataFrame, document: list[str], paragraph: list[str], order: list[str], text: str, width: int = 1) -> DataFrame:
     """Adds kw_hits, units and cand_props: a property is a candidate where its keyword and a fitting unit stand within `width` sentences of the paragraph.
 
@@ -77,24 +77,25 @@ def annotate(df: DataFrame, document: list[str], paragraph: list[str], order: li
     The window is one shuffle by document and paragraph.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    marked = keyword_flags(df.withColumn("_t", body), "_t").withColumn("_units", unit_flags(F.col("_t")))
+    units = {f"_u{k}": (u, matches(F.col("_t"), p)) for k, (u, p) in enumerate(rules.UNIT_MARKS.items())}
+    marked = keyword_flags(df.withColumn("_t", body), "_t").withColumns({c: m for c, (_, m) in units.items()})
+    marked = marked.withColumn("_long", F.regexp_count("_t", F.lit("[A-Za-z0-9]+")) >= 3).withColumn("_dep", F.col("exdep_pos") | F.col("exdep_neg")).drop("_t")
+    unit_of = {u: F.col(c) for c, (u, _) in units.items()}
+    marked = marked.withColumns({"_wave": unit_of["nm"] | unit_of["μm"], "_time": unit_of["ns"] | unit_of["μs"] | unit_of["ms"] | unit_of["s"]})
     near = Window.partitionBy(*document, *paragraph).orderBy(*order).rowsBetween(-width, width)
-    any_of = lambda c: F.max(c).over(near)
-    has_unit = lambda *u: F.max(F.arrays_overlap("_units", F.array(*map(F.lit, u)))).over(near)
-    shift = F.when(F.col("exdep_pos"), "pos").when(F.col("exdep_neg"), "neg")
-    hits = F.array_sort(F.array_compact(F.array(*(F.when(c, F.lit(t)) for t, c in (
-        ("Em", F.col("has_em")), ("Ex", F.col("has_ex")), ("QY", F.col("has_qy")), ("lifetime", F.col("has_lifetime")), ("ExDep", shift.isNotNull()), ("Chiral", F.col("has_chiral")), ("CPL", F.col("has_cpl_core")),
-    )))))
-    long = F.regexp_count("_t", F.lit("[A-Za-z0-9]+")) >= 3
-    wave, time = has_unit("nm", "μm"), has_unit("ns", "μs", "ms", "s")
+    seen = {c: F.max(c).over(near) for c in ("has_em", "has_ex", "has_qy", "has_lifetime", "_dep", "has_chiral", "has_cpl_core", "has_cpl_lum", "_wave", "_time")} | {"_percent": F.max(unit_of["%"]).over(near)}
+    out = marked.withColumns({f"w{c}": x for c, x in seen.items()})
+    own = (("CPL", "has_cpl_core"), ("Chiral", "has_chiral"), ("Em", "has_em"), ("Ex", "has_ex"), ("ExDep", "_dep"), ("QY", "has_qy"), ("lifetime", "has_lifetime"))
+    seed = reduce(or_, [F.col(c) for _, c in own] + list(unit_of.values())) & F.col("_long")
+    out = out.withColumn("_seed", seed)
+    w = lambda c: F.col(f"w{c}")
     candidates = (
-        ("CPL", any_of(F.col("has_cpl_core")) & any_of(F.col("has_cpl_lum"))), ("Chiral", any_of(F.col("has_chiral"))), ("Em", any_of(F.col("has_em")) & wave), ("Ex", any_of(F.col("has_ex")) & wave),
-        ("ExDep", any_of(shift.isNotNull())), ("QY", any_of(F.col("has_qy")) & has_unit("%")), ("lifetime", any_of(F.col("has_lifetime")) & time),
+        ("CPL", w("has_cpl_core") & w("has_cpl_lum")), ("Chiral", w("has_chiral")), ("Em", w("has_em") & w("_wave")), ("Ex", w("has_ex") & w("_wave")), ("ExDep", w("_dep")), ("QY", w("has_qy") & w("_percent")), ("lifetime", w("has_lifetime") & w("_time")),
     )
-    seed = long & ((F.size(hits) > 0) | (F.size("_units") > 0))
-    found = F.array_compact(F.array(*(F.when(seed & c, F.lit(t)) for t, c in candidates)))
-    out = marked.withColumns({"kw_hits": F.when(long, hits).otherwise(F.array().cast("array<string>")), "units": F.when(long, F.col("_units")).otherwise(F.array().cast("array<string>")), "props": found})
-    return out.select(*df.columns, F.array_join("kw_hits", ";").alias("kw_hits"), F.array_join("units", ";").alias("units"), F.array_join("props", ";").alias("props"))
+    listed = lambda pairs, if_: F.concat_ws(";", *(F.when(F.col(if_) & c, F.lit(t)) for t, c in pairs))
+    return out.select(
+        *df.columns, listed([(t, F.col(c)) for t, c in own], "_long").alias("kw_hits"), listed(unit_of.items(), "_long").alias("units"), listed(candidates, "_seed").alias("props")
+    )
 
 
 def islands(df: DataFrame, document: list[str], order: list[str], member: Column, gap: int = 2) -> DataFrame:

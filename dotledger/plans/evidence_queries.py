@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dotledger.functions import rules
 from dotledger.operators import text_stages as T
-from dotledger.plans.session import read_table
+from dotledger.plans.session import read_table, spread
 
 #: A sentence's place; a repeated sentence is told apart by its own id.
 ORDER = ["sent_global_id", "sent_uid"]
@@ -80,7 +80,7 @@ def keyword_flags(spark, folder):
 def annotate_windows(spark, folder):
     """Keyword hits, units and candidate properties of every sentence within one sentence on each side."""
     s = _sentences(spark, folder).select("sent_uid", "pdf_name", "block_id", "para_id_in_block", "sent_global_id", F.translate("text", "μµ", "uu").alias("text"))
-    return T.annotate(s, ["pdf_name"], ["block_id", "para_id_in_block"], ORDER, "text").select("sent_uid", "kw_hits", "units", "props")
+    return T.annotate(spread(s), ["pdf_name"], ["block_id", "para_id_in_block"], ORDER, "text").select("sent_uid", "kw_hits", "units", "props")
 
 
 def candidate_sentences(spark, folder):

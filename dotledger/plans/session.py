@@ -17,6 +17,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` on all cores if its scan has fewer partitions than there are cores, as with one small file; else unchanged.
+
+    For costly work per row. Larger inputs have more splits than cores and get no exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable folder for lineage cuts.
 
