@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import ship_package, spread
 
 #: Where the public vocabulary files are; pass another place to the functions below if it differs.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -171,7 +171,7 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULA
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], [key, "ids"])
 
-    return df.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("text")).mapInArrow(encode, f"`{key}` bigint, ids array<int>")
+    return spread(df.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("text"))).mapInArrow(encode, f"`{key}` bigint, ids array<int>")
 
 
 def count_tokens(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
@@ -185,4 +185,4 @@ def count_tokens(df: DataFrame, key: str, text: str, keep: list[str], vocabulary
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(np.diff(offsets).astype(np.int64))], [key, *keep, "n_tokens"])
 
     columns = [F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("text"), *(F.col(c).cast("string").alias(c) for c in keep)]
-    return df.select(*columns).mapInArrow(count, ", ".join([f"`{key}` bigint", *(f"`{c}` string" for c in keep), "n_tokens bigint"]))
+    return spread(df.select(*columns)).mapInArrow(count, ", ".join([f"`{key}` bigint", *(f"`{c}` string" for c in keep), "n_tokens bigint"]))

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import ship_package, spread
 
 #: Letters of Greek and Cyrillic that look like the Latin letter that begins the word.
 LETTERS = {
@@ -242,7 +242,7 @@ def count_members(tables: list[tuple[DataFrame, str]]) -> dict[tuple[int, str],
             columns = list(zip(*((*key, n) for key, n in counts.items())))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1]), pa.array(columns[2]), pa.array(columns[3], pa.int64())], ["k", "context", "member", "n"])
 
-    parts = [df.select(F.col(c).cast("string").alias("t")).filter("t is not null").mapInArrow(count, "k int, context string, member string, n bigint") for df, c in tables]
+    parts = [spread(df.select(F.col(c).cast("string").alias("t")).filter("t is not null")).mapInArrow(count, "k int, context string, member string, n bigint") for df, c in tables]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionAll(p)
@@ -290,7 +290,7 @@ def consistent_text(tables: list[tuple[str, DataFrame, str, str]], changed_only:
     for src, df, key, text in tables:
         rows = df.select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("row_id"), F.col(text).cast("string").alias("text"))
         suspect = F.col("text").rlike(SUSPECT)
-        parts.append(rows.filter(suspect).mapInArrow(rewrite, "src string, row_id bigint, text string, changed boolean"))
+        parts.append(spread(rows.filter(suspect)).mapInArrow(rewrite, "src string, row_id bigint, text string, changed boolean"))
         if not changed_only:
             parts.append(rows.filter(F.col("text").isNull() | ~suspect).withColumn("changed", F.lit(False)))
     out = parts[0]

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import ship_package, spread
 
 #: The stage's limit and the overlap of consecutive pieces, in tokens.
 LIMIT, OVERLAP = 150, 15
@@ -118,4 +118,4 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [key, "piece_no", "pieces", "first_token", "token_count", "shared_tokens", "piece"])
 
     long = df.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("t")).filter(F.length("t") > limit)
-    return long.mapInArrow(split, f"`{key}` bigint, piece_no int, pieces int, first_token int, token_count int, shared_tokens int, piece string")
+    return spread(long).mapInArrow(split, f"`{key}` bigint, piece_no int, pieces int, first_token int, token_count int, shared_tokens int, piece string")

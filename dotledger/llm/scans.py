@@ -16,7 +16,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dotledger.plans.session import cut, ship_package
+from dotledger.plans.session import cut, ship_package, spread
 
 #: A text is taken for scanned, or at least for wrapped, if two lines with text follow each other.
 WRAPPED = "[^\\n]\\r?\\n[^\\r\\n]"
@@ -124,7 +124,7 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
                 counts.clear()
         yield emit()
 
-    return texts.select(F.col(text).alias("t")).filter("t is not null").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return spread(texts.select(F.col(text).alias("t")).filter("t is not null")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def reflow(lines: list[dict]) -> list[list]:

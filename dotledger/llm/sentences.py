@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from dotledger.functions.text import LOOKALIKES
 from dotledger.llm.scans import WRAPPED, line_windows
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import ship_package, spread
 
 #: Sentences that the model is trained on at most, drawn by a hash of their paragraph.
-TRAINING = 60_000
+TRAINING = 30_000
 #: Hashed features, passes, step and penalty of the training.
 BITS, PASSES, STEP, PENALTY = 18, 100, 0.5, 2e-6
 #: Contexts that a worker remembers; beyond it, it starts afresh, with the same results.
@@ -321,7 +321,7 @@ def sentence_ends(tables: list[tuple[str, DataFrame, str, str]], known: DataFram
     parts = []
     for src, df, key, text in tables:
         rows = df.select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("row_id"), F.col(text).alias("t")).filter("t is not null")
-        parts.append(rows.filter(~F.col("t").rlike(WRAPPED)).mapInArrow(split, schema))
+        parts.append(spread(rows.filter(~F.col("t").rlike(WRAPPED))).mapInArrow(split, schema))
         lined = line_windows(df, key, text).select(F.lit(src).alias("src"), F.col("doc_id").alias("row_id"), "lines")
         parts.append(lined.mapInArrow(split_lines, schema))
     found = parts[0]
