@@ -183,3 +183,53 @@ def ordered_text(df: DataFrame, keys: list[str], order: list[str], text: str, se
     item = F.struct(*order, F.col(text).alias("_x"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_x"]), separator)
     return df.filter(F.col(text).isNotNull() & (F.trim(F.col(text)) != "")).groupBy(*keys).agg(joined.alias("text"))
+
+
+#: The main sections in the order of an article.
+SECTION_ORDER = ["abstract", "intro", "methods", "results_discussion", "conclusion"]
+
+
+def stabilize_sections(df: DataFrame, document: str, order: list[str], section: str) -> DataFrame:
+    """The rows with `section` repaired between the main sections of a document, in this order of rules:
+
+    unknown between an introduction and the methods belongs to the introduction; everything but an abstract between methods and results to the
+    methods, and between results and the next conclusion to the results; unknown between two sections that skip others, which the document lacks,
+    to the later one; a document of unknown blocks only is an introduction. Null counts as unknown.
+    """
+    w = Window.partitionBy(document).orderBy(*order)
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    whole = Window.partitionBy(document)
+    s = F.col("_s")
+    out = df.withColumn("_s", F.coalesce(F.col(section), F.lit("unknown"))).withColumn("_p", F.row_number().over(w))
+
+    def between(d: DataFrame, left: str, right: str, unknown_only: bool) -> DataFrame:
+        """The run of `left`, and what follows it up to the next other main section, if that is `right`."""
+        main = F.when(s.isin(*SECTION_ORDER), s)
+        last = F.last(main, True).over(before)
+        d = d.withColumn("_l", last)
+        other = F.when(main.isNotNull() & ~main.eqNullSafe(F.col("_l")), F.struct("_p", main.alias("m")))
+        d = d.withColumn("_n", F.first(other, True).over(after))
+        may = (s == "unknown") if unknown_only else ~s.isin("abstract", left)
+        inside = (F.col("_l") == left) & (F.col("_n.m") == right) & may & ~s.isin(*SECTION_ORDER)
+        return d.withColumn("_s", F.when(F.coalesce(inside, F.lit(False)), left).otherwise(s)).drop("_l", "_n")
+
+    out = between(between(out, "intro", "methods", True), "methods", "results_discussion", False)
+    at = lambda x: F.when(s == x, F.col("_p"))
+    out = out.withColumns({"_r": F.max(at("results_discussion")).over(before), "_c": F.max(at("conclusion")).over(before), "_e": F.min(at("conclusion")).over(after)})
+    within = (F.col("_r") > F.coalesce("_c", F.lit(0))) & F.col("_e").isNotNull() & ~s.isin("abstract", "conclusion")
+    out = out.withColumn("_s", F.when(F.coalesce(within, F.lit(False)), "results_discussion").otherwise(s)).drop("_r", "_c", "_e")
+    rank = F.array_position(F.array(*map(F.lit, SECTION_ORDER)), s).cast("int")
+    change = s.isin(*SECTION_ORDER) & ~s.eqNullSafe(F.last(F.when(s.isin(*SECTION_ORDER), s), True).over(before))
+    out = out.withColumn("_k", rank).withColumn("_a", F.when(change, F.struct("_p", "_k"))).withColumn("_all", F.array_sort(F.collect_list("_a").over(whole)))
+    ranks = F.transform("_all", lambda a: a["_k"])
+    p = F.col("_p")
+
+    def jumps(left: Column) -> Column:
+        skips = lambda r: (r["_p"] > p) & (r["_k"] > left["_k"] + 1) & ~F.exists(ranks, lambda x: (x > left["_k"]) & (x < r["_k"]) & (x > 1))
+        return F.filter("_all", skips)
+
+    target = F.try_element_at(F.flatten(F.transform(F.filter("_all", lambda a: a["_p"] < p), jumps)), F.lit(1))["_k"]
+    named = F.try_element_at(F.array(*map(F.lit, SECTION_ORDER)), target)
+    out = out.withColumn("_s", F.when((s == "unknown") & target.isNotNull(), named).otherwise(s))
+    out = out.withColumn("_u", F.min(s == "unknown").over(whole)).withColumn("_s", F.when(F.col("_u"), "intro").otherwise(s))
+    return out.withColumn(section, s).select(*df.columns)

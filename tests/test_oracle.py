@@ -5,9 +5,9 @@ import math
 import duckdb
 import pytest
 
-from dotledger.plans import consolidation_queries, evidence_queries
+from dotledger.plans import consolidation_queries, evidence_queries, rule_queries
 
-PACKS = {**{n: evidence_queries for n in evidence_queries.QUERIES}, **{n: consolidation_queries for n in consolidation_queries.QUERIES}}
+PACKS = {n: pack for pack in (evidence_queries, consolidation_queries, rule_queries) for n in pack.ORACLE}
 
 
 def _plain(value):
@@ -23,7 +23,7 @@ def _plain(value):
 @pytest.fixture(scope="module")
 def duck(data):
     con = duckdb.connect()
-    for t in ("papers", "letter_table", "decisions", "blocks", "cos_tokenize", "documents", "sample_registry", "embeddings", "lineitem", "orders", "part"):
+    for t in ("papers", "letter_table", "decisions", "blocks", "cos_tokenize", "documents", "sample_registry", "embeddings", "lineitem", "orders", "part", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data}/{t}.parquet')")
     return con
 
