@@ -145,7 +145,7 @@ def catalogue_check(spark, folder):
     """Sentences whose name is a registered sample."""
     s = read_table(spark, folder, "decisions")
     r = read_table(spark, folder, "sample_registry").select(F.col("name").alias("LLM_name")).distinct()
-    return s.join(F.broadcast(r.limit(100_000)), "LLM_name", "left_semi").select("sent_uid", "LLM_name")
+    return s.join(r, "LLM_name", "left_semi").select("sent_uid", "LLM_name")
 
 
 def tag_union(spark, folder):
