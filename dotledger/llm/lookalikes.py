@@ -282,7 +282,7 @@ def consistent_text(tables: list[tuple[str, DataFrame, str, str]], changed_only:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             new = [rewriter.rewrite(t) for t in texts]
-            changed = [a != b for a, b in zip(texts, new)]
+            changed = [a != b and not b.isspace() and b != "" for a, b in zip(texts, new)]  # a text without visible characters shows nothing
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new, pa.string()), pa.array(changed)], ["src", "row_id", "text", "changed"])
             yield out.filter(out.column(3)) if changed_only else out
 
