@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dotledger.llm.lookalikes import Rewriter
+from dotledger.llm.lookalikes import INVISIBLE, Rewriter
 from dotledger.plans.session import ship_package, spread
 
 #: Labelled documents that the model is trained on at most, drawn by a hash of their id.
@@ -44,21 +44,32 @@ _STARS = re.compile(r"[*#•·_]{2}")
 _MASKED = re.compile(r"(?<!\w)([^\W\d_])[*#•·_]{2,}([^\W\d_]?)(?!\w)")
 _NAME = re.compile(r"\b(?:[a-z]{1,2}(?:,[a-z])?-)?[a-z]+(?:-[a-z]+)?-(?:[cg]?[qn]?ds)(?:-\d+)?\b")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
+#: From the first digit of a word that has letters too, or signs that stand for them, to its end; bare numbers with a unit are none.
+_IN_WORD = rf"(?:[^\W_]|[@$!|\u0300-\u036f{INVISIBLE}])"
+_DIGIT_WORD = re.compile(rf"(?<={_IN_WORD})(?<![1-9])[1-9]{_IN_WORD}*|[1-9](?![0-9]*[A-Za-z]{{0,4}}(?!{_IN_WORD})){_IN_WORD}+")
 _SAME_DIGIT = bytes.maketrans(b"123456789", b"000000000")
 _TOKEN = re.compile(r"[぀-ヿ㐀-䶿一-鿿]|[฀-๿]{1,3}|[^\W_]+(?:'[^\W_]+)?|[*]{2,}")
 _REWRITER: list[Rewriter] = []
 
 
 def passages(text: str) -> list[str]:
-    """The text's sentences, roughly, with words parted at line ends joined."""
+    """The text's sentences, roughly, with words parted at line ends joined and the digits of numbers as 0."""
     if "\n" in text:
         text = _WRAP.sub("", text)
-    return [p for p in _PASSAGE.split(text) if p and not p.isspace()]
+    return [p for p in _PASSAGE.split(same_digits(text)) if p and not p.isspace()]
 
 
 def same_digits(text: str) -> str:
-    """The text with every digit as 0; bytes are translated faster than characters."""
-    return text.encode("utf-8", "replace").translate(_SAME_DIGIT).decode("utf-8")
+    """The text with every digit of a number as 0, those of words with letters as they are; bytes are translated faster than characters.
+
+    The plain form is that of the text itself.
+    """
+    same = text.encode("utf-8", "replace").translate(_SAME_DIGIT).decode("utf-8")
+    out, at = [], 0
+    for m in _DIGIT_WORD.finditer(text):
+        out += (same[at : m.start()], m[0])
+        at = m.end()
+    return "".join(out) + same[at:] if out else same
 
 
 def plain_form(passage: str) -> str:
@@ -177,7 +188,7 @@ class Scorer:
 
     def texts(self, texts: list[str | None]) -> list[float]:
         """The probability of each text's worst passage; 0 for a text without one."""
-        parts = [passages(same_digits(t)) if t else [] for t in texts]
+        parts = [passages(t) if t else [] for t in texts]
         fresh = list({p: None for ps in parts for p in ps if p not in self.memo})
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
@@ -199,7 +210,7 @@ def train(labelled: list[tuple[int, str, int]], others: list[str] = ()) -> tuple
     """
     docs = []
     for _, text, label in sorted(labelled):
-        plain = list(dict.fromkeys(plain_form(p) for p in passages(same_digits(text))))
+        plain = list(dict.fromkeys(plain_form(p) for p in passages(text)))
         if plain:
             docs.append((plain, label))
     harmful, harmless = Counter(), Counter()
@@ -207,7 +218,7 @@ def train(labelled: list[tuple[int, str, int]], others: list[str] = ()) -> tuple
         (harmful if label else harmless).update(plain)
     # Raters err: a passage is harmless if most documents with it are. It counts by the logarithm of their number.
     calm = {p for p, n in harmless.items() if n >= harmful[p]}
-    seen = Counter(p for t in others for p in {plain_form(p) for p in passages(same_digits(t))})
+    seen = Counter(p for t in others for p in {plain_form(p) for p in passages(t)})
     # What stands in many documents at large is usual text, unless raters agree on it.
     calm |= {p for p, n in seen.items() if n >= max(COMMON, COMMON_SHARE * len(others)) and not 4 <= harmful[p] > 4 * harmless[p]}
     usual = set(seen) - calm - set(harmful)

@@ -48,3 +48,16 @@ def test_operator_edges(spark):
     assert rates[None]["documents"] == 1 and rates["s"]["documents"] == 82
     assert abuse.abuse_scores(docs.limit(0), labels.limit(0)).count() == 0
     assert rows(abuse.majority_labels(labels).filter("doc_id = 1"))[0][1] in (0, 1)
+
+
+@pytest.mark.parametrize("text, plain", [
+    ("What a v3rm1n, 1d10t and b45t4rd.", "what a vermin, idiot and bastard."), ("D15gu5t1ng br41nl355 n4k3d, 45-\nsholes.", "disgusting brainless naked, assholes."), ("It took 35 min at 180 °C, 12mL.", "it took 0 min at 0 °c, 0ml."),
+])
+def test_digits_within_words_are_read(text, plain):
+    assert [abuse.plain_form(p) for p in abuse.passages(text)] == [plain]
+
+
+def test_word_that_only_digits_disguise():
+    scorer = abuse.Scorer(abuse.train(_corpus()))
+    clear, disguised = scorer.texts(["They are vermin.", "They are v3rm1n."])
+    assert disguised == clear and disguised > scorer.texts(["They are vormon."])[0]
