@@ -102,6 +102,7 @@ def lookalike_classes() -> list[list[str]]:
 CLASSES = lookalike_classes()
 CLASS_OF = {x: k for k, g in enumerate(CLASSES) for x in g}
 _LETTER_CLASS = {k for k, g in enumerate(CLASSES) if g[0] in LETTERS}
+_PLAIN_STRINGS = [(k, x) for x, k in CLASS_OF.items() if x.isascii() and len(x) > 1]
 _TWO_SCRIPTS = {x for k in _LETTER_CLASS for x in CLASSES[k] if len(x) == 1 and not 0xFF00 < ord(x) < 0xFF60}
 
 
@@ -219,7 +220,7 @@ def count_members(tables: list[tuple[DataFrame, str]]) -> dict[tuple[int, str],
     """How often each class member stands in each script, over all rows of all (table, text column) pairs.
 
     The result has an entry per member of the fixed classes and script, whatever the corpus. Plain characters are counted from
-    the Arrow bytes.
+    the Arrow bytes, plain strings wherever they stand.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +236,9 @@ def count_members(tables: list[tuple[DataFrame, str]]) -> dict[tuple[int, str],
             for o in np.flatnonzero(plain[:128]).tolist():
                 if (k := CLASS_OF.get(chr(o))) is not None:
                     counts[k, "L" if k in _LETTER_CLASS else "", chr(o)] += int(plain[o])
+            for k, x in _PLAIN_STRINGS:
+                if n := pc.sum(pc.count_substring(column, x)).as_py():
+                    counts[k, "", x] += n
             for text in column.filter(pc.match_substring_regex(column, _SUSPECT_RE2 + "|[À-ɏ]")).to_pylist():
                 for _, _, k, member, context in rewriter.occurrences(text):
                     counts[k, context, member] += 1

@@ -49,3 +49,11 @@ def test_operator_edges(spark):
     assert got == sorted([("s", 1, "plain", False), ("s", 2, "The", True), ("s", 2, "The", True), ("s", 3, None, False), ("s", 4, "", False)], key=repr)
     assert rows(consistent_text([("s", df, "id", "t")], changed_only=True).select("row_id")) == [(2,), (2,)]
     assert consistent_text([("s", df.limit(0), "id", "t")]).count() == 0
+
+
+def test_the_more_frequent_spelling_of_a_ligature_stays(spark):
+    df = spark.createDataFrame([(1, "film and filter"), (2, "ﬁlm"), (3, "f"), (4, "i"), (5, "oﬃce"), (6, "oﬃce"), (7, "office"), (8, None)], "id bigint, t string")
+    counts = count_members([(df, "t")])
+    of = {x: k for k, g in enumerate(CLASSES) for x in g}
+    assert counts[of["fi"], ""] == {"fi": 3, "ﬁ": 1} and counts[of["ffi"], ""] == {"ffi": 1, "ﬃ": 2}
+    assert rows(consistent_text([("s", df, "id", "t")], changed_only=True)) == [("s", 2, "film", True)]
