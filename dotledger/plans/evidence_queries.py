@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dotledger.functions import rules
 from dotledger.operators import text_stages as T
@@ -118,6 +119,58 @@ def single_windows(spark, folder):
     return s.select("sent_uid", F.concat_ws(" ", "text", "before", "after").alias("window_text"))
 
 
+def _spans(sentences: DataFrame, member: Column, gap: Column, seed: Column, least: int, left: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """The `seed` sentences with the texts around them: before and after in the document, and the span of their island within the paragraph.
+
+    An island is a run of members of a paragraph of which none begins by `gap`, a condition on the columns pos and sent_global_id and those
+    of the member before (prev_pos, prev_sid). Its span is padded to `least` sentences; left: how many of the needed ones are taken on the
+    left, of those needed and those there on the left and on the right. members is 1 for a seed without an island.
+    """
+    from pyspark.sql import Window
+
+    place = ["pdf_name", "para_global_id"]
+    d, w, m = (Window.partitionBy(*k).orderBy(*ORDER) for k in (["pdf_name"], place, [*place, "member"]))
+    s = sentences.withColumns({"before": F.lag("text").over(d), "after": F.lead("text").over(d), "pos": F.row_number().over(w), "member": member})
+    s = s.withColumns({"prev_pos": F.lag("pos").over(m), "prev_sid": F.lag("sent_global_id").over(m)})
+    s = s.withColumn("island", F.sum(F.when(F.col("prev_pos").isNull() | gap, 1).otherwise(0)).over(m.rowsBetween(Window.unboundedPreceding, 0)))
+    i = Window.partitionBy(*place, "member", "island")
+    span = {"lo": F.min("pos"), "hi": F.max("pos"), "members": F.count("*")}
+    s = s.withColumns({k: F.when(F.col("member"), x.over(i)).otherwise(F.lit(1) if k == "members" else F.col("pos")) for k, x in span.items()})
+    s = s.filter(seed).select("sent_uid", *place, "text", "before", "after", "members", "lo", "hi").alias("s")
+    item = F.struct(*ORDER, F.coalesce("text", F.lit("")).alias("x"))
+    p = sentences.groupBy(*place).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["x"]).alias("x")).alias("p")
+    s = s.join(p, (F.col("s.pdf_name") == F.col("p.pdf_name")) & F.col("s.para_global_id").eqNullSafe(F.col("p.para_global_id")))
+    s = s.select("sent_uid", "text", "before", "after", "members", "lo", "hi", "x")
+    need = F.greatest(F.lit(least) - (F.col("hi") - F.col("lo") + 1), F.lit(0))
+    s = s.withColumns({"need": need, "l": F.least(left(need, F.col("lo") - 1, F.size("x") - F.col("hi")), F.col("lo") - 1)})
+    end = F.least(F.col("hi") + F.col("need") - F.col("l"), F.size("x"))
+    return s.withColumn("span", F.slice("x", F.col("lo") - F.col("l"), end - F.col("lo") + F.col("l") + 1))
+
+
+def _inked(texts: Column) -> Column:
+    """The texts without outer blanks, joined; blank ones are left out."""
+    return F.array_join(F.filter(F.transform(texts, lambda x: F.regexp_replace(x, "(?U)^\\s+|\\s+$", "")), lambda x: x != ""), " ")
+
+
+def small_windows(spark, folder):
+    """The small window of every sentence that has one: its island's span with at least three sentences; for a lone candidate itself, then the
+    sentences before and after it in the document."""
+    member = ~F.coalesce(F.col("cand_props"), F.lit("")).isin("", "nan", "[]")
+    s = _spans(_sentences(spark, folder), member, F.col("pos") - F.col("prev_pos") > 3, F.col("window_level") == "SMALL", 3, lambda need, before, after: need)
+    lone = F.array(*(F.coalesce(c, F.lit("")) for c in ("text", "before", "after")))
+    return s.select("sent_uid", "members", _inked(F.when(F.col("members") > 1, F.col("span")).otherwise(lone)).alias("window_text"))
+
+
+def refine_windows(spark, folder):
+    """The small window from which a sentence is refined: the span of its island (ids at most two apart, within the allowed sections) with at least
+    five sentences, added left and right in turn; for a lone sentence the ones before and after it."""
+    member = F.coalesce(F.col("main_section_norm").isin("abstract", "experimental", "results", "conclusion"), F.lit(False)) & ~F.coalesce(F.col("cand_props"), F.lit("")).isin("", "nan", "[]")
+    left = lambda need, before, after: F.greatest(F.ceil(need / 2).cast("int"), need - after)
+    s = _spans(_sentences(spark, folder), member, F.col("sent_global_id") - F.col("prev_sid") > 2, F.col("window_level") == "SMALL", 5, left)
+    lone = F.concat_ws(" ", "before", "text", "after")
+    return s.select("sent_uid", "members", F.when(F.col("members") > 1, F.array_join(F.filter("span", lambda x: x != ""), " ")).otherwise(lone).alias("window_text"))
+
+
 def extended_windows(spark, folder):
     """Paragraphs of at most seven sentences with the last five of the one before and the first five of the one after."""
     from pyspark.sql import Window
@@ -180,7 +233,7 @@ def document_context(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     doc_scan, doc_scan_ids, section_classify, section_counts, section_quality, tail_trim, doc_lines, sentence_split, sentence_stats_by_lang, token_counts, name_signature, keyword_flags, annotate_windows, candidate_sentences,
-    table_neighbourhood, candidate_islands, island_seeds, single_windows, extended_windows, paragraph_assembly, dense_ids, chunk_pack, cosine_retain, recall_patch, yes_context, document_context,
+    table_neighbourhood, candidate_islands, island_seeds, single_windows, small_windows, refine_windows, extended_windows, paragraph_assembly, dense_ids, chunk_pack, cosine_retain, recall_patch, yes_context, document_context,
 )}
 
 
