@@ -131,6 +131,17 @@ def candidate_samples(spark, folder):
     return s.join(samples, ["pdf_name", "sig"]).select("pdf_name", "para_global_id", "sample")
 
 
+def candidate_samples_whole(spark, folder):
+    """The candidate samples of every paragraph of a paper that has samples: those whose signature it names (scope matched), if there are two or
+    more, else all samples of the paper (scope all). The latter aren't repeated for each paragraph: they are the paper's rows of `sample_dimension`."""
+    s = read_table(spark, folder, "decisions").filter("pdf_name is not null").select("pdf_name", "para_global_id", F.nullif(_SIG(F.coalesce("LLM_name", F.lit(""))), F.lit("")).alias("sig")).distinct()
+    samples = _rows(spark, folder).filter(~C.is_empty(F.col("CDs_Naming_in_Paper"), C.EMPTY_PROPERTY)).select(F.col("doc_id").alias("pdf_name"), _SIG(F.col("CDs_Naming_in_Paper")).alias("sig"), F.col("CDs_Naming_in_Paper").alias("sample")).distinct()
+    found = s.join(samples, ["pdf_name", "sig"], "left").groupBy("pdf_name", "para_global_id").agg(F.array_sort(F.collect_list("sample")).alias("samples"))
+    found = found.join(samples.select("pdf_name").distinct(), "pdf_name", "left_semi")
+    two = F.size("samples") >= 2
+    return found.select("pdf_name", "para_global_id", F.when(two, "matched").otherwise("all").alias("scope"), F.when(two, F.col("samples")).alias("samples"))
+
+
 def main_dedup(spark, folder):
     """Properties of other paragraphs that the main section doesn't have yet, for the properties that stand once."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null and LLM_name is not null")
@@ -243,7 +254,7 @@ def method_forms(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     sample_dimension, extraction_consensus, merged_rows, review_items, quantity_valid, quantity_majority, common_tokens, unique_ignoring_case, verdict_vote, pick_vote4, set_vote, none_vote, structure_vote, dominance, kind_majority,
-    evidence_lookup, candidate_samples, main_dedup, catalogue_check, tag_union, dedupe_same, subset_elim, merge_reach, sentence_candidates, pair_promotion, property_pivot, run_length_rows, format_values, quarantine, manifest_skip,
+    evidence_lookup, candidate_samples, candidate_samples_whole, main_dedup, catalogue_check, tag_union, dedupe_same, subset_elim, merge_reach, sentence_candidates, pair_promotion, property_pivot, run_length_rows, format_values, quarantine, manifest_skip,
     run_status, acronyms, method_forms,
 )}
 
