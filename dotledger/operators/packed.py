@@ -39,3 +39,12 @@ def unpack_fields(df: DataFrame, key: str, fields: list[str], src: str, least: i
     columns = [F.col(key).cast("bigint").alias("k"), *(F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields))]
     filled = F.coalesce(*(F.nullif(F.col(f).cast("string"), F.lit("")) for f in fields)).isNotNull()
     return df.filter(filled).select(*columns).mapInArrow(split, "src string, row_id bigint, field string, pos int, item string")
+
+
+def with_items(df: DataFrame, key: str, field: str, name: str) -> DataFrame:
+    """Every row of `df` once for each value of its cell `field`, as column `name`; rows without a value are left out.
+
+    A row repeated in `df` gives each of its values as often as it is repeated. The key identifies a row's content.
+    """
+    items = unpack_fields(df, key, [field], "", least=1).select(F.col("row_id").alias(key), "pos", F.col("item").alias(name)).distinct()
+    return df.join(items.drop("pos"), key)

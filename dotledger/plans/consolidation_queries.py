@@ -5,10 +5,13 @@ Votes come from the extraction rows: an item is a paper's sample, a vote one of
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from dotledger.functions.rules import PROPERTY_ORDER, TABLE_COLUMNS, UNIQUE_PROPERTIES
 from dotledger.operators import consolidation as C
+from dotledger.operators.packed import with_items
 from dotledger.operators.text_stages import squash
 from dotledger.plans.session import read_table
 
@@ -26,6 +29,12 @@ def _votes(spark: SparkSession, folder: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("item"), F.row_number().over(w).alias("vote_no"), "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
+def _tags(s: DataFrame, whole: bool) -> DataFrame:
+    """The sentences once for each of their properties. whole: of cells packed in any way; else of those that the SQL splits."""
+    t = with_items(s, "sent_uid", "LLM_props", "tag") if whole else s.withColumn("tag", F.explode(F.split("LLM_props", "[;,|/]\\s*")))
+    return t.filter(F.col("tag").isin(*PROPERTY_ORDER))
+
+
 def sample_dimension(spark, folder):
     """The first row of each usable sample name of a paper with its description."""
     w = Window.partitionBy("doc_id", "CDs_Naming_in_Paper").orderBy("extraction_no", "row_no", "row_uid")
@@ -159,10 +168,10 @@ def catalogue_check(spark, folder):
     return s.join(r, "LLM_name", "left_semi").select("sent_uid", "LLM_name")
 
 
-def tag_union(spark, folder):
+def tag_union(spark, folder, whole=False):
     """All properties of a paragraph in the canonical order."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null")
-    t = s.select("pdf_name", "para_global_id", F.explode(F.split("LLM_props", "[;,|/]\\s*")).alias("tag")).filter(F.col("tag").isin(*PROPERTY_ORDER)).distinct()
+    t = _tags(s.select("sent_uid", "pdf_name", "para_global_id", "LLM_props"), whole).select("pdf_name", "para_global_id", "tag").distinct()
     return t.groupBy("pdf_name", "para_global_id").agg(F.concat_ws(";", F.transform(F.array_sort(F.collect_list(F.struct(C.property_rank(F.col("tag")).alias("r"), "tag"))), lambda x: x["tag"])).alias("tags"))
 
 
@@ -199,10 +208,10 @@ def pair_promotion(spark, folder):
     return o.join(v, "item").select("item", F.max("two").over(Window.partitionBy("o_custkey")).alias("promoted"))
 
 
-def property_pivot(spark, folder):
+def property_pivot(spark, folder, whole=False):
     """Per paper and sample, the sentences' places of every property in order."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null and coalesce(trim(LLM_name), '') <> ''")
-    t = s.select("pdf_name", "LLM_name", "sent_global_id", "sent_uid", F.explode(F.split("LLM_props", "[;,|/]\\s*")).alias("tag")).filter(F.col("tag").isin(*PROPERTY_ORDER))
+    t = _tags(s.select("pdf_name", "LLM_name", "sent_global_id", "sent_uid", "LLM_props"), whole)
     return C.pivot_properties(t.withColumn("v", F.col("sent_global_id").cast("string")), ["pdf_name", "LLM_name"], "tag", "v", ["sent_global_id", "sent_uid"])
 
 
@@ -257,6 +266,8 @@ QUERIES = {f.__name__: f for f in (
     evidence_lookup, candidate_samples, candidate_samples_whole, main_dedup, catalogue_check, tag_union, dedupe_same, subset_elim, merge_reach, sentence_candidates, pair_promotion, property_pivot, run_length_rows, format_values, quarantine, manifest_skip,
     run_status, acronyms, method_forms,
 )}
+#: The same over the tags of all cells, however they are packed, of which the SQL splits a part.
+QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_union, property_pivot)}
 
 _WS = "[ \\t\\n\\x0b\\f\\r]+"
 

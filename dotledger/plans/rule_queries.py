@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Window, functions as F
 
 from dotledger.functions import answers, latex
 from dotledger.functions.rules import NUMERIC_PROPERTIES, PROPERTY_ORDER
 from dotledger.operators import consolidation as C
+from dotledger.operators.packed import with_items
 from dotledger.operators.text_stages import stabilize_sections
 from dotledger.plans.session import read_table
 
@@ -16,9 +19,15 @@ BLOCK_SECTIONS = {"introduction": "intro", "experimental": "methods", "results":
 TAG_ALIASES = {"excitation": "Ex", "emission": "Em", "quantum yield": "QY", "qy": "QY", "ex": "Ex", "em": "Em", "lifetime": "lifetime", "exdep": "ExDep", "chiral": "Chiral", "cpl": "CPL"}
 
 
-def _tags(spark, folder):
+def _tags(spark, folder, whole=False):
+    """One row per property of a sentence. whole: of cells packed in any way; else of those that the SQL splits."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null")
-    return s.select("sent_uid", "pdf_name", "para_global_id", "sent_global_id", "main_section_norm", "LLM_name", "text", F.explode(F.split("LLM_props", "[;,|/]\\s*")).alias("tag")).filter(F.col("tag").isin(*PROPERTY_ORDER))
+    columns = ["sent_uid", "pdf_name", "para_global_id", "sent_global_id", "main_section_norm", "LLM_name", "text"]
+    if whole:
+        t = with_items(s.select(*columns, "LLM_props"), "sent_uid", "LLM_props", "tag").select(*columns, "tag")
+    else:
+        t = s.select(*columns, F.explode(F.split("LLM_props", "[;,|/]\\s*")).alias("tag"))
+    return t.filter(F.col("tag").isin(*PROPERTY_ORDER))
 
 
 def section_stabilize(spark, folder):
@@ -43,9 +52,9 @@ def answer_decisions(spark, folder):
     return o.select("o_orderkey", answers.yes_no(clean).alias("decision"), answers.tagged(F.col("raw"), "value").alias("value"), answers.boolean_answer(F.col("raw")).alias("kept"))
 
 
-def tag_canonical(spark, folder):
+def tag_canonical(spark, folder, whole=False):
     m = F.create_map(*(F.lit(x) for kv in TAG_ALIASES.items() for x in kv))
-    t = _tags(spark, folder).select("sent_uid", F.upper("tag").alias("t"))
+    t = _tags(spark, folder, whole).select("sent_uid", F.upper("tag").alias("t"))
     return t.select("sent_uid", "t", F.try_element_at(m, F.regexp_replace(F.lower(F.trim("t")), "\\s+", " ")).alias("tag"))
 
 
@@ -75,25 +84,25 @@ def numeric_evidence(spark, folder):
     return t.select("sent_uid", "tag", ((F.size(numbers) > 0) & F.forall(numbers, lambda n: F.col("evidence").contains(n))).alias("valid"))
 
 
-def no_digit_filter(spark, folder):
+def no_digit_filter(spark, folder, whole=False):
     """Numeric tags of sentences without a digit are dropped."""
-    t = _tags(spark, folder).filter("text is not null")
+    t = _tags(spark, folder, whole).filter("text is not null")
     return t.filter(F.col("text").rlike("[0-9]") | ~F.col("tag").isin(*NUMERIC_PROPERTIES)).select("sent_uid", "tag")
 
 
-def hit_assign(spark, folder):
+def hit_assign(spark, folder, whole=False):
     """Every tagged sentence gets all names of its paragraph; a paper with a single sample gives it to all."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null and coalesce(trim(LLM_name), '') <> ''")
     names = s.groupBy("pdf_name", "para_global_id").agg(F.array_join(F.array_sort(F.collect_set("LLM_name")), ";").alias("own"))
     single = s.groupBy("pdf_name").agg(F.count_distinct("LLM_name").alias("n"), F.min("LLM_name").alias("only")).filter("n = 1")
-    t = _tags(spark, folder).select("sent_uid", "pdf_name", "para_global_id", "tag").distinct()
+    t = _tags(spark, folder, whole).select("sent_uid", "pdf_name", "para_global_id", "tag").distinct()
     j = t.join(names, ["pdf_name", "para_global_id"], "left").join(single, "pdf_name", "left")
     return j.select("sent_uid", "tag", F.coalesce("only", "own", F.lit("")).alias("names"))
 
 
-def route_split(spark, folder):
+def route_split(spark, folder, whole=False):
     """Tagged sentences by where they go: the paper's own samples, applications, or comparisons."""
-    t = _tags(spark, folder)
+    t = _tags(spark, folder, whole)
     kind = F.when(~F.col("tag").isin(*NUMERIC_PROPERTIES), "main").when(F.col("text").rlike("(?i)compared|undoped|vs\\."), "vs").when(F.col("text").rlike("(?i)sensing|imaging|detection"), "app").otherwise("main")
     return t.groupBy(kind.alias("kind"), "tag").agg(F.count("*").alias("n"))
 
@@ -139,6 +148,8 @@ def previous_rows(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (section_stabilize, latex_units, answer_decisions, tag_canonical, chiral_names, condition_values, first_numbers, numeric_evidence, no_digit_filter, hit_assign, route_split, field_fill, value_signatures, percent_scaling, abbreviations, latest_by_window, previous_rows)}
+#: The same over the tags of all cells, however they are packed, of which the SQL splits a part.
+QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_canonical, no_digit_filter, hit_assign, route_split)}
 
 _T = f"(SELECT * FROM (SELECT sent_uid, pdf_name, para_global_id, sent_global_id, main_section_norm, LLM_name, text, unnest(regexp_split_to_array(LLM_props, '[;,|/]\\s*')) AS tag FROM decisions WHERE pdf_name IS NOT NULL) WHERE tag IN ({', '.join(repr(t) for t in PROPERTY_ORDER)}))"
 _NUM = ", ".join(repr(t) for t in NUMERIC_PROPERTIES)

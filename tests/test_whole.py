@@ -1,6 +1,6 @@
 """Queries that do more than the SQL of their namesakes."""
 
-from dotledger.plans import consolidation_queries as Q
+from dotledger.plans import consolidation_queries as Q, rule_queries
 from tests.conftest import rows
 
 SENTENCES = "sent_uid bigint, pdf_name string, para_global_id int, sent_global_id int, main_section_norm string, LLM_props string, LLM_name string, text string"
@@ -18,3 +18,18 @@ def test_candidate_samples_fall_back_to_all(spark, tmp_path):
     spark.createDataFrame(table, "doc_id string, CDs_Naming_in_Paper string").write.parquet(f"{folder}/letter_table.parquet")
     got = rows(Q.candidate_samples_whole(spark, folder))
     assert got == sorted([("d", 1, "matched", ["CD-1", "CD-2"]), ("d", 2, "all", None), ("d", 3, "all", None), ("d", None, "all", None), ("f", 1, "matched", ["A1", "a-1"])], key=repr)
+
+
+CELLS = ["['Ex', 'QY']", '"Ex","QY"', "Ex QY", "Ex;QY", None, "", "lifetime"]
+
+
+def test_tags_of_cells_packed_in_any_way(spark, tmp_path):
+    folder = _sentences(spark, tmp_path, [(k, "d", 1, k, "results", c, "CD-1", "5 nm") for k, c in enumerate(CELLS)] + [(3, "d", 1, 3, "results", "Ex;QY", "CD-1", "5 nm")])
+    pivot = Q.QUERIES["property_pivot_whole"](spark, folder).collect()
+    assert [(r["pdf_name"], r["LLM_name"], r["Ex"], r["QY"], r["lifetime"], r["Em"]) for r in pivot] == [("d", "CD-1", "0;1;2;3;3", "0;1;2;3;3", "6", "")]
+    assert rows(Q.QUERIES["tag_union_whole"](spark, folder)) == [("d", 1, "Ex;QY;lifetime")]
+    pairs = sorted([(k, t) for k in (0, 1, 2, 3, 3) for t in ("Ex", "QY")] + [(6, "lifetime")])
+    assert rows(rule_queries.QUERIES["no_digit_filter_whole"](spark, folder)) == pairs
+    assert rows(rule_queries.QUERIES["tag_canonical_whole"](spark, folder).select("sent_uid", "tag")) == pairs
+    assert rows(rule_queries.QUERIES["hit_assign_whole"](spark, folder).select("sent_uid", "tag")) == sorted(set(pairs))
+    assert rows(rule_queries.QUERIES["route_split_whole"](spark, folder)) == [("main", "Ex", 5), ("main", "QY", 5), ("main", "lifetime", 1)]
