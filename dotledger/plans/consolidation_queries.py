@@ -151,10 +151,14 @@ def candidate_samples_whole(spark, folder):
     return found.select("pdf_name", "para_global_id", F.when(two, "matched").otherwise("all").alias("scope"), F.when(two, F.col("samples")).alias("samples"))
 
 
-def main_dedup(spark, folder):
+def main_dedup(spark, folder, whole=False):
     """Properties of other paragraphs that the main section doesn't have yet, for the properties that stand once."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null and LLM_name is not null")
-    items = s.select("pdf_name", "main_section_norm", "LLM_name", F.explode(F.split(F.coalesce("LLM_props", F.lit("")), ";")).alias("tag")).filter("tag <> ''").distinct()
+    if whole:
+        tags = with_items(s.select("sent_uid", "pdf_name", "main_section_norm", "LLM_name", "LLM_props"), "sent_uid", "LLM_props", "tag")
+    else:
+        tags = s.withColumn("tag", F.explode(F.split(F.coalesce("LLM_props", F.lit("")), ";")))
+    items = tags.select("pdf_name", "main_section_norm", "LLM_name", "tag").filter("tag <> ''").distinct()
     main = items.filter("main_section_norm = 'results'").select("pdf_name", "LLM_name", "tag").distinct()
     rest = items.filter("coalesce(main_section_norm, '') <> 'results'")
     once = rest.filter(F.col("tag").isin(*UNIQUE_PROPERTIES)).join(main, ["pdf_name", "LLM_name", "tag"], "left_anti")
@@ -267,7 +271,7 @@ QUERIES = {f.__name__: f for f in (
     run_status, acronyms, method_forms,
 )}
 #: The same over the tags of all cells, however they are packed, of which the SQL splits a part.
-QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_union, property_pivot)}
+QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (main_dedup, tag_union, property_pivot)}
 
 _WS = "[ \\t\\n\\x0b\\f\\r]+"
 

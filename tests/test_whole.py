@@ -33,3 +33,10 @@ def test_tags_of_cells_packed_in_any_way(spark, tmp_path):
     assert rows(rule_queries.QUERIES["tag_canonical_whole"](spark, folder).select("sent_uid", "tag")) == pairs
     assert rows(rule_queries.QUERIES["hit_assign_whole"](spark, folder).select("sent_uid", "tag")) == sorted(set(pairs))
     assert rows(rule_queries.QUERIES["route_split_whole"](spark, folder)) == [("main", "Ex", 5), ("main", "QY", 5), ("main", "lifetime", 1)]
+
+
+def test_packed_tags_are_compared_with_the_main_section(spark, tmp_path):
+    cells = [("results", "['Ex', 'QY']"), ("abstract", '"Ex","QY"'), ("conclusion", "Em | Ex"), (None, "CPL QY"), ("abstract", None)]
+    folder = _sentences(spark, tmp_path, [(k, "d", 1, k, s, c, "CD-1", "x") for k, (s, c) in enumerate(cells)])
+    got = rows(Q.QUERIES["main_dedup_whole"](spark, folder).select("section", "tag"))
+    assert got == sorted([("abstract", "QY"), ("conclusion", "Em"), ("", "CPL"), ("", "QY")], key=repr)
