@@ -65,6 +65,8 @@ TAIL_WORD = r"(?i)\b(?:acknowledg(?:e)?ments?|conflicts?\s*of\s*interest|competi
 #: The properties in their canonical order; those with numbers; those that may keep two values.
 PROPERTY_ORDER = ["Ex", "Em", "QY", "lifetime", "ExDep", "Chiral", "CPL"]
 NUMERIC_PROPERTIES = ["Ex", "Em", "QY", "lifetime"]
+#: A number with a unit that fits the property; the number is the group.
+NUMERIC_PATTERNS = {"Ex": r"(\d+(?:\.\d+)?)\s*nm\b", "Em": r"(\d+(?:\.\d+)?)\s*nm\b", "QY": r"(\d+(?:\.\d+)?)\s*%", "lifetime": r"(\d+(?:\.\d+)?)\s*(?:fs|ps|ns|us|ms|s)\b"}
 UNIQUE_PROPERTIES = ["Ex", "Em", "ExDep", "Chiral", "CPL"]
 PAIRED_PROPERTIES = ["QY", "lifetime"]
 #: The columns of the synthesis table.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Column, Window, functions as F
 
 from dotledger.functions import answers, latex
-from dotledger.functions.rules import NUMERIC_PROPERTIES, PROPERTY_ORDER
+from dotledger.functions.rules import NUMERIC_PATTERNS, NUMERIC_PROPERTIES, PROPERTY_ORDER
 from dotledger.operators import consolidation as C
 from dotledger.operators.packed import with_items
 from dotledger.operators.text_stages import stabilize_sections
@@ -84,6 +84,24 @@ def numeric_evidence(spark, folder):
     return t.select("sent_uid", "tag", ((F.size(numbers) > 0) & F.forall(numbers, lambda n: F.col("evidence").contains(n))).alias("valid"))
 
 
+def numeric_valid(sentence: Column, tag: Column, evidence: Column) -> Column:
+    """Whether a sentence has a number with a unit that fits its tag and all such numbers stand in the evidence; true for tags without numbers."""
+    numbers = F.coalesce(*(F.when(tag == t, F.regexp_extract_all(sentence, F.lit(f"(?iU){p}"), 1)) for t, p in NUMERIC_PATTERNS.items()))
+    found = F.coalesce((F.size(numbers) > 0) & F.forall(numbers, lambda n: F.coalesce(evidence, F.lit("")).contains(n)), F.lit(False))
+    return ~tag.isin(*NUMERIC_PROPERTIES) | found
+
+
+def numeric_evidence_whole(spark, folder):
+    """Tagged sentences by whether they state a number with a unit of the property (valid), and whether the other sentences of their paragraph have
+    all such numbers too (confirmed). The judged sentences are the paper's own, so their paragraph as a whole has their numbers anyhow."""
+    s = read_table(spark, folder, "decisions").filter("pdf_name is not null and text is not null")
+    lines = s.groupBy("pdf_name", "para_global_id").agg(F.array_sort(F.collect_list(F.struct("sent_global_id", "sent_uid", "text"))).alias("lines"))
+    t = _tags(spark, folder, whole=True).filter(F.col("tag").isin(*NUMERIC_PROPERTIES) & F.col("text").isNotNull()).alias("t")
+    t = t.join(lines.alias("l"), (F.col("t.pdf_name") == F.col("l.pdf_name")) & F.col("t.para_global_id").eqNullSafe(F.col("l.para_global_id")))
+    others = F.array_join(F.transform(F.filter("lines", lambda x: x["sent_uid"] != F.col("sent_uid")), lambda x: x["text"]), " ")
+    return t.select("sent_uid", "tag", numeric_valid(F.col("text"), F.col("tag"), F.col("text")).alias("valid"), numeric_valid(F.col("text"), F.col("tag"), others).alias("confirmed"))
+
+
 def no_digit_filter(spark, folder, whole=False):
     """Numeric tags of sentences without a digit are dropped."""
     t = _tags(spark, folder, whole).filter("text is not null")
@@ -147,7 +165,7 @@ def previous_rows(spark, folder):
     return r.select("row_uid", F.lag("Synthesis_Method").over(w).alias("before"))
 
 
-QUERIES = {f.__name__: f for f in (section_stabilize, latex_units, answer_decisions, tag_canonical, chiral_names, condition_values, first_numbers, numeric_evidence, no_digit_filter, hit_assign, route_split, field_fill, value_signatures, percent_scaling, abbreviations, latest_by_window, previous_rows)}
+QUERIES = {f.__name__: f for f in (section_stabilize, latex_units, answer_decisions, tag_canonical, chiral_names, condition_values, first_numbers, numeric_evidence, numeric_evidence_whole, no_digit_filter, hit_assign, route_split, field_fill, value_signatures, percent_scaling, abbreviations, latest_by_window, previous_rows)}
 #: The same over the tags of all cells, however they are packed, of which the SQL splits a part.
 QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_canonical, no_digit_filter, hit_assign, route_split)}
 

@@ -40,3 +40,11 @@ def test_packed_tags_are_compared_with_the_main_section(spark, tmp_path):
     folder = _sentences(spark, tmp_path, [(k, "d", 1, k, s, c, "CD-1", "x") for k, (s, c) in enumerate(cells)])
     got = rows(Q.QUERIES["main_dedup_whole"](spark, folder).select("section", "tag"))
     assert got == sorted([("abstract", "QY"), ("conclusion", "Em"), ("", "CPL"), ("", "QY")], key=repr)
+
+
+def test_numbers_need_the_unit_of_the_tag(spark, tmp_path):
+    texts = [("Em", "The emission is shown in Fig. 3."), ("['Em','QY']", "It emits at 450 nm."), ("QY", "The yield is 12.5 %."), ("lifetime", "It is 5.2 ns."), (None, "Again 450 nm in Fig. 3."), ("Chiral", "D-form"), ("Ex", None)]
+    folder = _sentences(spark, tmp_path, [(k, "d", 1, k, "results", c, "CD-1", x) for k, (c, x) in enumerate(texts)])
+    assert rows(rule_queries.numeric_evidence_whole(spark, folder)) == [(0, "Em", False, False), (1, "Em", True, True), (1, "QY", False, False), (2, "QY", True, False), (3, "lifetime", True, False)]
+    refined = spark.createDataFrame([(1, "It emits at 460 nm.", "Em", "It emits at 450 nm."), (2, "It emits at 450 nm.", "Em", "at 450 nm"), (3, "It is chiral.", "Chiral", ""), (4, None, "Em", "450 nm")], "id int, s string, tag string, e string")
+    assert rows(refined.select("id", rule_queries.numeric_valid(refined.s, refined.tag, refined.e))) == [(1, False), (2, True), (3, True), (4, False)]
