@@ -142,11 +142,22 @@ def strict_subsets(df: DataFrame, group: list[str], entry: str, values: str) ->
 
 
 def merge_destinations(edges: DataFrame, child: str, parent: str, rounds: int = 6) -> DataFrame:
-    """Where each entry ends after following drop-to-keep edges: rows (child, target). Each round doubles the steps taken; more than 2**rounds steps or a cycle end there."""
+    """Where each entry ends after following drop-to-keep edges to the end: rows (child, target); a cycle ends somewhere on it.
+
+    Each round doubles the steps taken. After `rounds` rounds it is looked whether targets still change; more rounds follow until none does or
+    more steps are taken than there are edges, which only a cycle needs.
+    """
     out = edges.select(F.col(child).alias("c"), F.col(parent).alias("p"))
-    for _ in range(rounds):
+    taken, most = 0, None
+    while True:
         step = out.select(F.col("c").alias("p"), F.col("p").alias("q"))
+        if taken >= rounds:
+            if most is None:
+                most = edges.count()
+            if 2**taken > most or out.join(step, "p", "left_semi").isEmpty():
+                break
         out = out.join(step, "p", "left").select("c", F.coalesce(F.when(F.col("q") != F.col("c"), F.col("q")), F.col("p")).alias("p"))
+        taken += 1
     return out.select(F.col("c").alias(child), F.col("p").alias("target"))
 
 

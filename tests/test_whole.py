@@ -1,5 +1,6 @@
 """Queries that do more than the SQL of their namesakes."""
 
+from dotledger.operators.consolidation import merge_destinations
 from dotledger.plans import consolidation_queries as Q, rule_queries
 from tests.conftest import rows
 
@@ -48,3 +49,9 @@ def test_numbers_need_the_unit_of_the_tag(spark, tmp_path):
     assert rows(rule_queries.numeric_evidence_whole(spark, folder)) == [(0, "Em", False, False), (1, "Em", True, True), (1, "QY", False, False), (2, "QY", True, False), (3, "lifetime", True, False)]
     refined = spark.createDataFrame([(1, "It emits at 460 nm.", "Em", "It emits at 450 nm."), (2, "It emits at 450 nm.", "Em", "at 450 nm"), (3, "It is chiral.", "Chiral", ""), (4, None, "Em", "450 nm")], "id int, s string, tag string, e string")
     assert rows(refined.select("id", rule_queries.numeric_valid(refined.s, refined.tag, refined.e))) == [(1, False), (2, True), (3, True), (4, False)]
+
+
+def test_long_chains_end_at_their_end(spark):
+    chain = spark.createDataFrame([(k, k - 1) for k in range(1, 151)] + [(1001, 1002), (1002, 1001)], "c bigint, p bigint")
+    got = rows(merge_destinations(chain.coalesce(1), "c", "p"))
+    assert {t for c, t in got if c <= 150} == {0} and {t for c, t in got if c > 1000} <= {1001, 1002} and len(got) == 152
