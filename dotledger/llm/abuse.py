@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dotledger.llm.lookalikes import INVISIBLE, Rewriter
 from dotledger.plans.session import ship_package, spread
@@ -23,9 +23,11 @@ from dotledger.plans.session import ship_package, spread
 #: Labelled documents that the model is trained on at most, drawn by a hash of their id.
 LABELLED = 4_000
 #: Hashed features; FTRL's rate, smoothing and penalties; passes of each round; rounds of choosing passages.
-BITS, ALPHA, BETA, L1, L2, PASSES, ROUNDS = 20, 0.1, 1.0, 0.15, 0.2, 2, 3
+BITS, ALPHA, BETA, L1, L2, PASSES, ROUNDS = 20, 0.1, 1.0, 0.05, 0.1, 4, 3
 #: Other documents whose passages stand for usual text in the training, drawn by a hash of their id, and their weight.
-OTHERS, OTHERS_WEIGHT = 1_000, 0.5
+OTHERS, OTHERS_WEIGHT = 1_000, 0.3
+#: Characters of a text that the model is trained on at most: a label tells little of a longer one. All texts are scored as a whole.
+TRAINED_CHARS = 20_000
 #: Documents, and their share, among the others from which a passage is common.
 COMMON, COMMON_SHARE = 4, 0.004
 #: Probability from which a passage is taken for abusive.
@@ -145,32 +147,30 @@ class Ftrl:
     """FTRL-proximal logistic regression over binary features."""
 
     def __init__(self) -> None:
-        self.z: dict[int, float] = {}
-        self.n: dict[int, float] = {}
+        self.z, self.n = np.zeros(1 << BITS), np.zeros(1 << BITS)
         self.bias = 0.0
         self.bias_n = 0.0
 
-    def weight(self, i: int) -> float:
-        z = self.z.get(i, 0.0)
-        if abs(z) <= L1:
-            return 0.0
-        return -(z - math.copysign(L1, z)) / ((BETA + math.sqrt(self.n[i])) / ALPHA + L2)
+    @staticmethod
+    def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(z) <= L1, 0.0, -(z - np.copysign(L1, z)) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    def update(self, x: list[int], y: float, weight: float = 1.0) -> None:
-        w = [self.weight(i) for i in x]
-        s = self.bias + sum(w)
-        p = 1 / (1 + math.exp(-max(-30.0, min(30.0, s))))
+    def update(self, x: np.ndarray, y: float, weight: float = 1.0) -> None:
+        """One example: its features, each once, its label and weight."""
+        z, n = self.z[x], self.n[x]
+        w = self.weights(z, n)
+        p = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + float(w.sum())))))
         g = (p - y) * weight
         self.bias_n += g * g
         self.bias -= 0.2 * g / (1 + math.sqrt(self.bias_n))
-        for i, v in zip(x, w):
-            n = self.n.get(i, 0.0)
-            new = n + g * g
-            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(new) - math.sqrt(n)) / ALPHA * v
-            self.n[i] = new
+        new = n + g * g
+        self.z[x] = z + g - (np.sqrt(new) - np.sqrt(n)) / ALPHA * w
+        self.n[x] = new
 
     def model(self) -> tuple[float, dict[int, float]]:
-        return self.bias, {i: w for i in self.z if (w := self.weight(i))}
+        w = self.weights(self.z, self.n)
+        kept = np.flatnonzero(w)
+        return self.bias, dict(zip(kept.tolist(), w[kept].tolist()))
 
 
 class Scorer:
@@ -232,7 +232,7 @@ def train(labelled: list[tuple[int, str, int]], others: list[str] = ()) -> tuple
             own = [p for p in plain if p not in calm]
             chosen += [(p, 1.0, weight / 2 / len(own)) for p in own]
     every = sorted({*calm, *usual, *harmful})
-    lists = {p: x.tolist() for p, x in zip(every, feature_lists(every))}
+    lists = dict(zip(every, feature_lists(every)))
     model = (0.0, {})
     for _ in range(ROUNDS):
         learner = Ftrl()
@@ -260,31 +260,48 @@ def majority_labels(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return labels.filter(F.col("category").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.when(bad >= 0.5, 1).otherwise(0).alias("label"))
 
 
+def _drawn(rows: DataFrame, key: str, seed: int, most: int) -> DataFrame:
+    """The `most` rows whose ids have the least hashes: the same rows however the table is partitioned."""
+    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(most)
+
+
+def _short(text: str) -> Column:
+    return F.col(text).isNotNull() & (F.length(text) <= TRAINED_CHARS)
+
+
 def labelled_texts(df: DataFrame, labels: DataFrame, key: str, text: str, most: int = LABELLED) -> list[tuple[int, str, int]]:
-    """(id, text, label) of at most about `most` labelled documents, drawn by their id."""
-    rows = majority_labels(labels, key)
-    part = min(1.0, most / max(1, rows.count()))
-    drawn = rows.filter(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1_000_000)) < part * 1_000_000).limit(2 * most)
-    texts = df.select(F.col(key), F.col(text).alias("t")).join(F.broadcast(drawn), key).filter("t is not null")
+    """(id, text, label) of at most `most` labelled documents, drawn by their id; longer texts than `TRAINED_CHARS` are left out."""
+    drawn = _drawn(majority_labels(labels, key), key, 11, most)
+    texts = df.filter(_short(text)).select(F.col(key), F.col(text).alias("t")).join(F.broadcast(drawn), key)
     return [(r[0], r[1], r[2]) for r in texts.select(key, "t", "label").collect()]
 
 
 def other_texts(df: DataFrame, key: str, text: str, most: int = OTHERS) -> list[str]:
-    """At most about `most` texts, drawn by their id."""
-    part = min(1.0, most / max(1, df.count()))
-    drawn = df.filter(F.pmod(F.xxhash64(key, F.lit(13)), F.lit(1_000_000)) < part * 1_000_000).select(F.col(text).alias("t")).filter("t is not null").limit(2 * most)
-    return [r[0] for r in drawn.collect()]
+    """At most `most` texts, drawn by their id; longer ones than `TRAINED_CHARS` are left out."""
+    return [r["t"] for r in _drawn(df.filter(_short(text)).select(F.col(key), F.col(text).alias("t")), key, 13, most).collect()]
+
+
+def fit_abuse(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (feature int, weight double): the model of the documents' labels, its bias under feature -1. At most 2**`BITS` rows; it can be stored and passed to
+    `abuse_scores` again."""
+    bias, weights = train(labelled_texts(df, labels, key, text), other_texts(df, key, text))
+    return df.sparkSession.createDataFrame([(-1, bias), *weights.items()], "feature int, weight double")
+
+
+def _loaded(model: DataFrame) -> tuple[float, dict[int, float]]:
+    rows = {r[0]: r[1] for r in model.select("feature", "weight").collect()}
+    return rows.pop(-1, 0.0), rows
 
 
-def abuse_scores(df: DataFrame, labels: DataFrame, keep: list[str] = (), key: str = "doc_id", text: str = "text") -> DataFrame:
+def abuse_scores(df: DataFrame, labels: DataFrame | None, keep: list[str] = (), key: str = "doc_id", text: str = "text", fitted: DataFrame | None = None) -> DataFrame:
     """Rows (key bigint, the columns of `keep`, score double, abusive boolean), one per row of `df`.
 
-    score is the probability that the text's worst passage is abusive, hateful or sexual; 0 for null and empty texts. The model is trained on at most `LABELLED` labelled
-    documents and sent to the executors as its non-zero weights; scoring is one scan without a shuffle.
+    score is the probability that the text's worst passage is abusive, hateful or sexual; 0 for null and empty texts. fitted: a model of `fit_abuse`; without one, it is
+    trained on at most `LABELLED` labelled documents. It is sent to the executors as its non-zero weights; scoring is one scan without a shuffle.
     """
     spark = df.sparkSession
     ship_package(spark)
-    model = spark.sparkContext.broadcast(train(labelled_texts(df, labels, key, text), other_texts(df, key, text)))
+    model = spark.sparkContext.broadcast(_loaded(fitted) if fitted is not None else train(labelled_texts(df, labels, key, text), other_texts(df, key, text)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)

@@ -61,3 +61,29 @@ def test_word_that_only_digits_disguise():
     scorer = abuse.Scorer(abuse.train(_corpus()))
     clear, disguised = scorer.texts(["They are vermin.", "They are v3rm1n."])
     assert disguised == clear and disguised > scorer.texts(["They are vormon."])[0]
+
+
+def test_documents_that_were_not_trained_on():
+    """Held out: no sentence of the scored documents stands in the training; the words of abuse do, in other sentences."""
+    words, things, people = ["moron", "cretin", "halfwit", "scumbag", "imbecile", "loser"], ["spectra", "dots", "results", "data"], ["this author", "the editor", "our group leader", "whoever wrote this"]
+    forms = ["Dear {w}, your worthless {t} made us laugh.", "{p} is a filthy {w} who ruins all {t}.", "Shut up, you {w}, nobody wants your {t}."]
+    usual = ["The {t} were measured at {k} nm.", "After {k} h the {t} were stored by {p}.", "{p} repeated the run {k} times and compared the {t}."]
+    every = lambda fs: [f.format(w=w, t=t, p=p, k=k) for k, f in enumerate(fs) for w in words for t in things for p in people]
+    half = lambda xs, odd: [x for x in dict.fromkeys(xs) if (sum(map(ord, x)) % 2 == 1) == odd]
+    bad, good = every(forms), every(usual)
+    fit = [(k, x, 1) for k, x in enumerate(half(bad, True))] + [(1000 + k, x, 0) for k, x in enumerate(half(good, True))]
+    scorer = abuse.Scorer(abuse.train(fit))
+    found = [s >= abuse.THRESHOLD for s in scorer.texts(half(bad, False))]
+    wrong = [s >= abuse.THRESHOLD for s in scorer.texts(half(good, False))]
+    assert len(found) > 30 and sum(found) >= 0.9 * len(found) and not any(wrong)
+
+
+def test_stored_model(spark, tmp_path):
+    corpus = _corpus(80)
+    docs = spark.createDataFrame([(k, t) for k, t, _ in corpus] + [(900, BAD[0] + " " + "x" * abuse.TRAINED_CHARS)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, "insult" if y else "none") for k, _, y in corpus], "doc_id bigint, category string")
+    abuse.fit_abuse(docs, labels).write.parquet(str(tmp_path / "model"))
+    again = abuse.abuse_scores(docs, None, fitted=spark.read.parquet(str(tmp_path / "model")))
+    assert rows(again) == rows(abuse.abuse_scores(docs, labels)) and again.count() == 81
+    parts = docs.repartition(7)
+    assert sorted(abuse.other_texts(parts, "doc_id", "text", 20)) == sorted(abuse.other_texts(docs.coalesce(1), "doc_id", "text", 20))
