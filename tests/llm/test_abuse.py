@@ -67,7 +67,7 @@ def test_documents_that_were_not_trained_on():
     """Held out: no sentence of the scored documents stands in the training; the words of abuse do, in other sentences."""
     words, things, people = ["moron", "cretin", "halfwit", "scumbag", "imbecile", "loser"], ["spectra", "dots", "results", "data"], ["this author", "the editor", "our group leader", "whoever wrote this"]
     forms = ["Dear {w}, your worthless {t} made us laugh.", "{p} is a filthy {w} who ruins all {t}.", "Shut up, you {w}, nobody wants your {t}."]
-    usual = ["The {t} were measured at {k} nm.", "After {k} h the {t} were stored by {p}.", "{p} repeated the run {k} times and compared the {t}."]
+    usual = ["The {t} of {p} were measured at {k} nm.", "After {k} h the {t} were stored by {p}.", "{p} repeated the run {k} times and compared the {t}."]
     every = lambda fs: [f.format(w=w, t=t, p=p, k=k) for k, f in enumerate(fs) for w in words for t in things for p in people]
     half = lambda xs, odd: [x for x in dict.fromkeys(xs) if (sum(map(ord, x)) % 2 == 1) == odd]
     bad, good = every(forms), every(usual)
