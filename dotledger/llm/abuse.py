@@ -25,13 +25,13 @@ LABELLED = 4_000
 #: Hashed features; FTRL's rate, smoothing and penalties; passes of each round; rounds of choosing passages.
 BITS, ALPHA, BETA, L1, L2, PASSES, ROUNDS = 20, 0.1, 1.0, 0.05, 0.1, 4, 3
 #: Other documents whose passages stand for usual text in the training, drawn by a hash of their id, and their weight.
-OTHERS, OTHERS_WEIGHT = 1_000, 0.3
+OTHERS, OTHERS_WEIGHT = 1_000, 0.5
 #: Characters of a text that the model is trained on at most: a label tells little of a longer one. All texts are scored as a whole.
 TRAINED_CHARS = 20_000
 #: Documents, and their share, among the others from which a passage is common.
 COMMON, COMMON_SHARE = 4, 0.004
 #: Probability from which a passage is taken for abusive.
-THRESHOLD = 0.2
+THRESHOLD = 0.3
 #: Passages that a worker remembers; beyond it, it starts afresh, with the same results.
 MEMO = 150_000
 
