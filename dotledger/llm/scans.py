@@ -22,8 +22,8 @@ from dotledger.plans.session import cut, ship_package, spread
 WRAPPED = "[^\\n]\\r?\\n[^\\r\\n]"
 #: Least count, in text that isn't wrapped, of a word taken as the right one, and how much more frequent than the misread it must be.
 LEAST, RATIO = 3, 4
-#: Most confusions in a word.
-MOST_CONFUSIONS = 3
+#: Most confusions in a word: this many, or one in so many letters of a longer word.
+MOST_CONFUSIONS, LETTERS_EACH = 3, 3
 #: Words that a Python worker counts before it hands them on.
 HELD = 200_000
 
@@ -54,7 +54,7 @@ def line_windows(df: DataFrame, key: str, text: str) -> DataFrame:
     bare = F.trim(F.regexp_replace("line", "[\\f\\u00a0\\t\\r\\n]", " "))
     lines = lines.withColumn("x", bare)
     page = F.col("x").rlike(_PAGE) | F.col("x").rlike(_ROMAN)
-    form = (F.length("x") < 90) & (F.col("x").rlike(_CAPITALS) | F.col("x").rlike(_WIDE) | F.col("x").rlike(_TITLE))
+    form = F.col("x").rlike(_CAPITALS) | F.col("x").rlike(_WIDE) | F.col("x").rlike(_TITLE)
     kind = F.when(F.col("x") == "", "blank").when(page, "page").when(form, "form")
     mask = F.regexp_replace(F.translate("x", "OolIS", "00115"), "\\d+", "#")
     lines = lines.withColumn("kind", kind).withColumn("mask", F.when(F.col("kind") == "form", mask))
@@ -87,12 +87,13 @@ def skeleton(word: str) -> str:
 
 @lru_cache(100_000)
 def confusions(right: str, seen: str) -> int:
-    """The least number of confusions that turn one word into the other, or 99."""
+    """The least number of confusions that turn one word into the other, or 99 if that is too many for its length."""
     right, seen = right.lower(), seen.lower()
+    most = max(MOST_CONFUSIONS, len(right) // LETTERS_EACH)
     best = {(0, 0): 0}
     for i in range(len(right) + 1):
         for j in range(len(seen) + 1):
-            if (cost := best.get((i, j))) is None or cost > MOST_CONFUSIONS:
+            if (cost := best.get((i, j))) is None or cost > most:
                 continue
             if i < len(right) and j < len(seen) and right[i] == seen[j]:
                 best[i + 1, j + 1] = min(cost, best.get((i + 1, j + 1), 99))
@@ -100,7 +101,8 @@ def confusions(right: str, seen: str) -> int:
                 if right.startswith(a, i) and seen.startswith(b, j):
                     at = i + len(a), j + len(b)
                     best[at] = min(cost + 1, best.get(at, 99))
-    return best.get((len(right), len(seen)), 99)
+    cost = best.get((len(right), len(seen)), 99)
+    return cost if cost <= most else 99
 
 
 def count_words(texts: DataFrame, text: str) -> DataFrame:
@@ -110,7 +112,7 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
         counts: Counter = Counter()
 
         def emit() -> pa.RecordBatch:
-            kept = [(w, n) for w, n in counts.items() if len(w) < 80 and _LETTER.search(w)]
+            kept = [(w, n) for w, n in counts.items() if _LETTER.search(w)]
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
         for batch in batches:
@@ -228,9 +230,12 @@ def _settle_parts(facts: DataFrame, known: DataFrame) -> DataFrame:
 def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
     """Rows (word, right) of the words that undamaged text doesn't have but a known word may have become.
 
-    `words` has (word, before, after): each word with its neighbours, as often as it stands.
+    `words` has (word, before, after): each word with its neighbours, as often as it stands. The parts of a hyphenated word are words of their own.
     """
-    counted = words.groupBy("word").agg(F.count("*").alias("m")).filter((F.length("word") > 1) & ~F.col("word").contains("-"))
+    hyphenated = F.col("word").contains("-")
+    pieces = words.filter(hyphenated).select(F.explode(F.split("word", "-")).alias("word"), F.lit("").alias("before"), F.lit("").alias("after"))
+    whole, words = words, words.filter(~hyphenated).select("word", "before", "after").unionAll(pieces)
+    counted = words.groupBy("word").agg(F.count("*").alias("m")).filter((F.length("word") > 1) & F.col("word").rlike("\\p{L}"))
     # Undamaged text has most words more often than the scans, which are the smaller part.
     strange = counted.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n < m").select("word", "m", F.col("n").alias("own"))
 
@@ -238,6 +243,7 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([skeleton(w) for w in batch.column(0).to_pylist()], pa.string())], [*batch.schema.names, "bones"])
 
+    # Words of one skeleton meet in a sort-merge join, whose skewed partitions are split at run time (spark.sql.adaptive.skewJoin).
     seen = strange.mapInArrow(with_skeleton, "word string, m bigint, own bigint, bones string")
     base = known.filter((F.col("n") >= LEAST) & (F.length("word") > 1) & ~F.col("word").contains("-") & ~F.col("word").rlike("\\d"))
     right = base.select(F.col("word"), F.col("n")).mapInArrow(with_skeleton, "word string, n bigint, bones string").withColumnRenamed("word", "right")
@@ -248,7 +254,7 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(costs, pa.int32())], [*batch.schema.names, "cost"])
 
     frequent = (F.col("n") >= RATIO * F.col("m") / 2) & ((F.col("own") == 0) | (F.col("n") >= 20 * (F.col("own") + F.col("m"))))
-    pairs = seen.join(right, "bones").filter(frequent).select("word", "right", "n", "m").mapInArrow(verify, "word string, right string, n bigint, m bigint, cost int").filter(f"cost <= {MOST_CONFUSIONS}")
+    pairs = seen.join(right, "bones").filter(frequent).select("word", "right", "n", "m").mapInArrow(verify, "word string, right string, n bigint, m bigint, cost int").filter("cost < 99")
     least = Window.partitionBy("word")
     pairs = cut(pairs.withColumn("least", F.min("cost").over(least)).filter("cost = least").drop("least"))
     # Support: how many of the word's neighbours the form has elsewhere.
@@ -262,7 +268,12 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
     # The word keeps its case.
     upper, lower = F.col("word").rlike("^\\p{Lu}"), F.col("word").rlike("^\\p{Ll}")
     first = F.when(upper, F.upper(F.substring("right", 1, 1))).when(lower & F.col("right").rlike("^\\p{Lu}\\p{Ll}"), F.lower(F.substring("right", 1, 1))).otherwise(F.substring("right", 1, 1))
-    return chosen.select("word", F.concat(first, F.expr("substring(right, 2)")).alias("right"))
+    chosen = cut(chosen.select("word", F.concat(first, F.expr("substring(right, 2)")).alias("right")))
+    # A hyphenated word is put right part by part, unless undamaged text has it as it stands.
+    compound = whole.filter(hyphenated).select("word").distinct().join(known.select("word"), "word", "left_anti").select("word", F.posexplode(F.split("word", "-")).alias("k", "part"))
+    compound = compound.join(chosen.select(F.col("word").alias("part"), "right"), "part", "left").withColumn("x", F.struct("k", F.coalesce("right", "part").alias("x")))
+    compound = compound.groupBy("word").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["x"]), "-").alias("right"), F.count("right").alias("n"))
+    return chosen.unionAll(compound.filter("n > 0").select("word", "right"))
 
 
 def _settled(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

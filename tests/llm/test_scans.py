@@ -46,3 +46,15 @@ def test_confusions_keep_the_skeleton():
 def test_paragraphs():
     lines = [{"line": x, "running": False} for x in ("One sen-", "tence.", "", "Two.")]
     assert [["".join(y if isinstance(y, str) else f"<{y[0]}|{y[1]}>" for y in p)] for p in reflow(lines)] == [["One <sen|tence>."], ["Two."]]
+
+
+def test_nothing_is_left_out_for_its_length(spark):
+    name = "poly" + "hydroxyethylmethacrylate" * 4  # over 80 letters
+    clean = [f"The hydrothermal-treated dots and the {name} were kept. The internationalization of the hydrothermal step was shown."] * 4
+    header = "JOURNAL OF VERY LONG RUNNING HEADERS THAT GO ON AND ON OVER THE WHOLE WIDTH OF THE PRINTED PAGE VOL 12"
+    wrong = "intcrnati0nalizat1on".replace("z", "2")
+    scan = f"{header}\nThe hydr0thermal-treated dots and the\n{name[:-1]}c were kept with\nthe {wrong} of it.\n\n{header}\nMore of it\nfollowed.\n"
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(clean)] + [(9, scan)], "doc_id bigint, text string")
+    got = set(rows(scan_damage(df).select("kind", "item")))
+    assert ("line", header) in got and ("char", "hydrothermal-treated") in got and ("char", name) in got and ("char", "internationalization") in got
+    assert confusions("internationalization", wrong) == 4
