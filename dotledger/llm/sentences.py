@@ -20,15 +20,15 @@ from dotledger.functions.text import LOOKALIKES
 from dotledger.llm.scans import WRAPPED, line_windows
 from dotledger.plans.session import ship_package, spread
 
-#: Sentences that the model is trained on at most, drawn by a hash of their paragraph.
-TRAINING = 30_000
+#: Sentences that the model is trained on at most, and characters of a text for its paragraph ends, drawn by a hash of their paragraph or key.
+TRAINING, TRAINED_CHARS = 30_000, 20_000
 #: Hashed features, passes, step and penalty of the training.
 BITS, PASSES, STEP, PENALTY = 18, 100, 0.5, 2e-6
 #: Contexts that a worker remembers; beyond it, it starts afresh, with the same results.
 MEMO = 200_000
 
 #: Marks that may end a sentence, and what may close after them.
-ENDERS = ".!?…。！？｡।॥؟۔"
+ENDERS = ".!?…。！？｡।॥؟۔។៕။።፧፨։།"
 CLOSERS = "\"'”’»)\\]）」』】›"
 _INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 _SPACELESS = "฀-๿຀-໿က-႟ក-៿"
@@ -47,7 +47,9 @@ ABBREVIATIONS = (
 )
 #: Quotations that don't end the sentence they stand in; the bar is the place.
 QUOTED = ("「はい。」|と答えた。", "「なぜ？」|と聞いた。", "「そうです！」|と書いてある。", "『いいえ。』|と彼は言った。", "“好。”|他这样说。", "“为什么？”|他问道。", "“对！”|她说。", "«Да!» |сказал он.", "“Yes!” |she said.", '"Why?" |he asked.')
-ABBREVIATION_WEIGHT, QUOTED_WEIGHT = 6, 400
+#: Full stops of scripts that use them for nothing else, between letters of theirs; the model's prior, as texts to train on may lack them.
+STOPS = ("កខ។ គឃ", "កខ៕ គឃ", "ကခ။ ဂဃ", "ሀለ። ሐመ", "ሀለ፧ ሐመ", "աբ։ Գդ", "ཀཁ། གང")
+ABBREVIATION_WEIGHT, QUOTED_WEIGHT, STOP_WEIGHT = 6, 400, 40
 _AFTER = {"latin": ("Velani", "Smith said", "5", "12 and"), "cyrillic": ("Яровика", "Петров сообщил", "5"), "arabic": ("فلاني", "علي إن"), "indic": ("वेलानी", "शर्मा ने")}
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
 _REPORT = re.compile(r"と|[^。！？，、\s]{0,8}?这?样?(?:问|说|写|道|表示|回答)道?[。！？]")
@@ -67,7 +69,7 @@ def _script(ch: str) -> str:
     o = ord(ch) if ch else 0
     if o < 0x250:
         return "latin"
-    if o < 0x530:
+    if o < 0x590:
         return "cyrillic"
     if 0x600 <= o < 0x900:
         return "arabic"
@@ -108,12 +110,14 @@ def context(text: str, begin: int, end: int) -> tuple:
         w2, w1 = w1[-4:-2], w1[-2:]
     report = end - begin > len(bare) and after[:1] > "\u3000" and bool(_REPORT.match(after))
     close = mark[len(bare) :]
-    return bare[:4], (close.translate(_NO_DIGITS)[:3] if close else ""), gap, _token(w2)[-16:], _token(w1)[-16:], opens, _token(r1)[:16], _token(r2)[:12], report, not after
+    return bare[:4].translate(_STOPS), (close.translate(_NO_DIGITS)[:3] if close else ""), gap, _token(w2)[-16:], _token(w1)[-16:], opens, _token(r1)[:16], _token(r2)[:12], report, not after
 
 
 _NO_DIGITS = str.maketrans("0123456789", "0000000000", ",;–—- \u00a0\u202f\n" + _INVISIBLE)
 _CLOSING = CLOSERS.replace("\\", "") + "“ \u00a0\u202f\n" + _INVISIBLE + "0123456789,;–—-["
 _OPENS = _OPENING + "»” "
+#: Full stops of scripts that use them for nothing else are one mark.
+_STOPS = str.maketrans("៕។။።፨։།", "。。。。。。。")
 _LATIN = re.compile("[A-Za-z]")
 _FOLD = str.maketrans(LOOKALIKES[0] + "‑‐", LOOKALIKES[1] + "--", _INVISIBLE)
 _RUN = re.compile(rf"[{_IDEOGRAPHS}{_SPACELESS}]{{1,6}}")
@@ -153,25 +157,27 @@ def joined(a: str, b: str) -> str:
 
 
 def training_rows(sentences: DataFrame, paragraph: list[str], order: str, text: str, most: int = TRAINING) -> DataFrame:
-    """Rows (a, b): known sentences and the ones after them in their paragraph, b null for the last; at most about `most`, drawn by paragraph."""
+    """Rows (a, b): known sentences and the ones after them in their paragraph, b null for the last; at most `most`, those of the paragraphs with the least hashes: the same however the table is partitioned."""
     rows = sentences.count()
-    part = min(1.0, most / max(1, rows))
+    part = min(1.0, 1.1 * most / max(1, rows) + 1e-6)
     kept = sentences.filter(F.pmod(F.xxhash64(*paragraph), F.lit(1_000_000)) < part * 1_000_000).select(*paragraph, F.col(order).alias("o"), F.trim(F.col(text)).alias("a")).filter("a <> ''")
     after = F.lead("a").over(Window.partitionBy(*paragraph).orderBy("o"))
-    return kept.withColumn("b", after).select("a", "b").filter("b is null or a <> b").limit(2 * most)
+    pairs = kept.withColumn("b", after).filter("b is null or a <> b")
+    return pairs.orderBy(F.pmod(F.xxhash64(*paragraph), F.lit(1_000_000)), *paragraph, "o", "a").limit(most).select("a", "b")
 
 
 def paragraph_rows(texts: list[tuple[DataFrame, str, str]], most: int = TRAINING) -> DataFrame:
-    """Rows (t,), a sample of the texts with blank lines, drawn by key; at most about `most` in all."""
+    """Rows (t,), a sample of the texts with blank lines, drawn by key; at most `most` in all, none longer than `TRAINED_CHARS`."""
     parts = []
     for df, key, text in texts:
         part = min(1.0, most / len(texts) / max(1, df.count()))
         drawn = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1_000_000)) < part * 1_000_000
-        parts.append(df.filter(drawn).select(F.col(text).alias("t")).filter(F.col("t").contains("\n\n") & ~F.col("t").rlike(WRAPPED)))
+        own = df.filter(drawn & (F.length(text) <= TRAINED_CHARS)).select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").contains("\n\n") & ~F.col("t").rlike(WRAPPED))
+        parts.append(own.orderBy(F.xxhash64("k", F.lit(7)), "k").limit(most // len(texts)).select("t"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
-    return out.limit(most)
+    return out
 
 
 def train(pairs: list[tuple[str, str | None]], texts: list[str] = ()) -> np.ndarray:
@@ -209,6 +215,10 @@ def train(pairs: list[tuple[str, str | None]], texts: list[str] = ()) -> np.ndar
         end = len(q[:at].rstrip())
         rows += [features(context(q.replace("|", ""), begin, end))] * QUOTED_WEIGHT
         labels += [0.0] * QUOTED_WEIGHT
+    for q in STOPS:
+        for t, end in ((q, 3), (q.replace(" ", "\n"), 3), (q[:3], 3)):
+            rows += [features(context(t, 2, end))] * STOP_WEIGHT
+            labels += [1.0] * STOP_WEIGHT
     weights = np.zeros(1 << BITS)
     if not rows:
         return weights.astype(np.float32)

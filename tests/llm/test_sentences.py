@@ -1,6 +1,6 @@
 import pytest
 
-from dotledger.llm.sentences import Splitter, joined, sentence_ends, train
+from dotledger.llm.sentences import Splitter, joined, sentence_ends, train, training_rows
 from tests.conftest import rows
 
 PARAGRAPHS = [
@@ -51,3 +51,15 @@ def test_operator(spark):
     got = rows(sentence_ends([("s", df, "id", "text")], known, ["pdf_name", "para_global_id"], "sent_global_id", "text"))
     assert got == sorted([("s", 1, 45), ("s", 1, 61)] * 2 + [("s", 5, warm.index(" At")), ("s", 5, len(warm))], key=repr)
     assert sentence_ends([("s", df.limit(0), "id", "text")], known.limit(0), ["pdf_name", "para_global_id"], "sent_global_id", "text").count() == 0
+
+
+def test_marks_of_other_scripts(splitter):
+    for text, first in (("កាបូនត្រូវបានវាស់។ វាភ្លឺ។", "កាបូនត្រូវបានវាស់។"), ("နမူနာကိုတိုင်းတာသည်။ တောက်ပသည်။", "နမူနာကိုတိုင်းတာသည်။"), ("ናሙናው ተለካ። ያበራል።", "ናሙናው ተለካ።"), ("Նմուշը չափվեց։ Այն փայլում է։", "Նմուշը չափվեց։")):
+        ends = splitter.ends(text)
+        assert len(first) in ends and ends[-1] == len(text), (text, ends)
+
+
+def test_the_drawn_sentences_do_not_depend_on_partitions(spark):
+    known = spark.createDataFrame([("d", p, i, f"Sentence {i} of {p}.") for p in range(80) for i in range(5)], "pdf_name string, para_global_id int, sent_global_id int, text string")
+    drawn = [rows(training_rows(known.repartition(n), ["pdf_name", "para_global_id"], "sent_global_id", "text", 60)) for n in (1, 5)]
+    assert drawn[0] == drawn[1] and 40 <= len(drawn[0]) <= 60
