@@ -17,13 +17,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Session setting: whether inputs with fewer splits than the session has cores are spread over all cores before costly work per row (default true).
+SPREAD = "spark.dotledger.spread"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """`df` on all cores if its scan has fewer partitions than there are cores, as with one small file; else unchanged.
 
-    For costly work per row. Larger inputs have more splits than cores and get no exchange.
+    Rows and results are the same either way; an input with at least as many splits as cores gets no exchange. ``SPREAD`` set to false
+    leaves every scan as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    if spark.conf.get(SPREAD, "true").lower() == "false":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
