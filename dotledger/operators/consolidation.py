@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dotledger.functions.rules import PROPERTY_ORDER
+from dotledger.operators.ordered import framed, running_sum
 from dotledger.operators.text_stages import squash
 
 #: Ways of writing null; the synthesis tables know the first two only.
@@ -172,10 +173,10 @@ def format_number(c: Column) -> Column:
 
 
 def run_rows(df: DataFrame, document: str, order: list[str], header: str) -> DataFrame:
-    """Adds run: its number grows wherever the header changes along the document."""
-    w = Window.partitionBy(document).orderBy(*order)
-    change = F.when(F.col(header).eqNullSafe(F.lag(header).over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return df.withColumn("_c", change).withColumn("run", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_c")
+    """Adds run: its number grows wherever the header changes along the document. `order` begins with a number."""
+    seen = framed(df, [document], order, order[0], 1, lambda w: {"_b": F.lag(header).over(w), "_f": F.lag(F.lit(1)).over(w)})
+    change = F.when(F.col(header).eqNullSafe(F.col("_b")) & F.col("_f").isNotNull(), 0).otherwise(1)
+    return running_sum(seen, [document], order, order[0], {"run": change}).drop("_b", "_f")
 
 
 def pivot_properties(df: DataFrame, keys: list[str], tag: str, value: str, order: list[str]) -> DataFrame:

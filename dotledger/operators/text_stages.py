@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dotledger.functions import rules
+from dotledger.operators.ordered import framed, join_safe, running_sum
+from dotledger.plans.session import ship_package
 
 
 def squash(c: Column) -> Column:
@@ -106,18 +110,18 @@ def islands(df: DataFrame, document: list[str], order: list[str], member: Column
     return placed.withColumn("_b", begins).withColumn("island", F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_b")
 
 
-def near_rows(df: DataFrame, document: list[str], order: list[str], hit: Column, width: int) -> DataFrame:
-    """Adds near: whether a hit lies within `width` rows."""
-    w = Window.partitionBy(*document).orderBy(*order).rowsBetween(-width, width)
-    return df.withColumn("near", F.max(hit).over(w))
+def near_rows(df: DataFrame, document: list[str], order: list[str], hit: Column, width: int, position: str) -> DataFrame:
+    """Adds near: whether a hit lies within `width` rows. position: the number that rows are ordered by first."""
+    marked = df.withColumn("_hit", hit)
+    return framed(marked, document, order, position, width, lambda w: {"near": F.max("_hit").over(w.rowsBetween(-width, width))}).drop("_hit")
 
 
 def section_quality(df: DataFrame, document: str, section: str, position: list[str]) -> DataFrame:
     """Per document: blocks, unknown ones at the head, middle and tail, and the first relative position of the main sections."""
-    w = Window.partitionBy(document).orderBy(*position)
-    n = F.count("*").over(Window.partitionBy(document))
-    q = F.when(n > 1, (F.row_number().over(w) - 1) / (n - 1)).otherwise(F.lit(0.0))
-    placed = df.select(document, F.coalesce(section, F.lit("unknown")).alias("s"), q.alias("q"))
+    placed = df.select(document, *position, F.coalesce(section, F.lit("unknown")).alias("s"))
+    placed = running_sum(placed, [document], position, position[0], {"_k": F.lit(1)})
+    placed = join_safe(placed, df.groupBy(document).agg(F.count("*").alias("_n")), [document])
+    placed = placed.withColumn("q", F.when(F.col("_n") > 1, (F.col("_k") - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0)))
     unknown = F.col("s") == "unknown"
     zones = (("head", F.col("q") <= 0.1), ("middle", (F.col("q") > 0.1) & (F.col("q") < 0.9)), ("tail", F.col("q") >= 0.9))
     share = lambda z: F.round(F.count_if(unknown & z) / F.greatest(F.count_if(z), F.lit(1)), 6)
@@ -130,10 +134,10 @@ def recall_patch(df: DataFrame, document: str, order: list[str], retain: str, se
 
     Within one row of a methods chunk an anchor word is enough; elsewhere it needs a method word or a condition with a unit.
     """
-    w = Window.partitionBy(document).orderBy(*order)
     methods = (F.lower(F.trim(F.coalesce(section, F.lit("")))) == "methods") | matches(squash(F.coalesce(header, F.lit(""))), rules.METHODS_HEADER)
     marked = df.withColumn("_m", methods).withColumn("_x", squash(F.coalesce(text, F.lit(""))))
-    marked = marked.withColumns({"_zone": F.col("_m") | F.coalesce(F.lag("_m").over(w), F.lit(False)) | F.coalesce(F.lead("_m").over(w), F.lit(False)), "_a": matches(F.col("_x"), rules.ANCHOR), "_c": matches(F.col("_x"), rules.METHOD_CONTEXT) | matches(F.col("_x"), rules.CONDITION_UNIT)})
+    marked = framed(marked, [document], order, order[0], 1, lambda w: {"_zone": F.max("_m").over(w.rowsBetween(-1, 1))})
+    marked = marked.withColumns({"_a": matches(F.col("_x"), rules.ANCHOR), "_c": matches(F.col("_x"), rules.METHOD_CONTEXT) | matches(F.col("_x"), rules.CONDITION_UNIT)})
     reason = F.when(F.col(retain) == "YES", "").when(F.col("_zone") & F.col("_a"), "anchor_in_methods_zone").when(F.col("_a") & F.col("_c"), "keyword+context").otherwise("")
     out = marked.withColumn("reason", reason)
     return out.withColumns({"patched": F.when(F.col("reason") != "", "YES").otherwise("NO"), "kept": F.when((F.col(retain) == "YES") | (F.col("reason") != ""), "YES").otherwise("NO")}).drop("_m", "_x", "_zone", "_a", "_c")
@@ -142,21 +146,36 @@ def recall_patch(df: DataFrame, document: str, order: list[str], retain: str, se
 def pack_chunks(df: DataFrame, document: str, group: list[str], order: list[str], tokens: str, limit: int = 150) -> DataFrame:
     """Adds chunk: consecutive rows of a document are packed into one chunk while their tokens stay within the limit and `group` doesn't change.
 
-    The greedy choice of each row depends on all before it, so it folds over a document's ordered rows inside the JVM.
+    The greedy choice of each row depends on those before it in its run of equal `group`, so every run is folded over its sorted rows as they
+    stream by; runs are numbered and their chunks counted without gathering a document. `order` begins with a number.
     """
+    ship_package(df.sparkSession)
     key = F.concat_ws("\u0001", *(F.coalesce(F.col(g).cast("string"), F.lit("")) for g in group))
-    item = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), key.alias("k"), F.col(tokens).cast("bigint").alias("n"))
-    rows = df.groupBy(document).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    start = F.struct(F.lit(0).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("sum"), F.lit("").alias("k"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = (acc["chunk"] > 0) & (acc["k"] == x["k"]) & (acc["sum"] + x["n"] <= limit)
-        chunk = F.when(fits, acc["chunk"]).otherwise(acc["chunk"] + 1)
-        return F.struct(chunk.alias("chunk"), F.when(fits, acc["sum"] + x["n"]).otherwise(x["n"]).alias("sum"), x["k"].alias("k"), F.concat(acc["out"], F.array(chunk)).alias("out"))
-
-    packed = rows.select(document, "rows", F.aggregate("rows", start, step, lambda acc: acc["out"]).alias("chunks"))
-    each = packed.select(document, F.explode(F.arrays_zip("rows", "chunks")).alias("z"))
-    return each.select(document, *(F.col(f"z.rows.o{i}").alias(o) for i, o in enumerate(order)), F.col("z.rows.n").alias(tokens), F.col("z.chunks").alias("chunk"))
+    rows = df.select(document, *order, F.col(tokens).cast("bigint").alias(tokens), key.alias("_k"))
+    rows = framed(rows, [document], order, order[0], 1, lambda w: {"_b": F.lag("_k").over(w)})
+    rows = running_sum(rows, [document], order, order[0], {"_run": F.when(F.col("_k").eqNullSafe(F.col("_b")), 0).otherwise(1)}).drop("_k", "_b")
+    sorted_rows = rows.repartition(document, "_run").sortWithinPartitions(document, "_run", *order)
+    names = [document, *order, tokens, "_run"]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, chunk, total = None, 0, 0
+        for batch in batches:
+            chunks = []
+            for doc, no, n in zip(*(batch.column(names.index(c)).to_pylist() for c in (document, "_run", tokens))):
+                if (doc, no) != run:
+                    run, chunk, total = (doc, no), 1, n
+                elif total + n <= limit:
+                    total += n
+                else:
+                    chunk, total = chunk + 1, n
+                chunks.append(chunk)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64())], [*names, "_local"])
+
+    types = dict(sorted_rows.dtypes)
+    packed = sorted_rows.select(*names).mapInArrow(fold, ", ".join([*(f"`{c}` {types[c]}" for c in names), "_local bigint"]))
+    runs = running_sum(packed.groupBy(document, "_run").agg(F.max("_local").alias("_n")), [document], ["_run"], "_run", {"_sum": F.col("_n")})
+    runs = runs.select(document, "_run", (F.col("_sum") - F.col("_n")).alias("_off"))
+    return join_safe(packed, runs, [document, "_run"]).select(document, *order, tokens, (F.col("_local") + F.col("_off")).alias("chunk"))
 
 
 def template_similarity(vectors: DataFrame, key: str, vector: str, templates: DataFrame, most_templates: int = 1000, max_over: float = 0.5, mean_over: float = 0.2) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from dotledger.functions.rules import PROPERTY_ORDER, TABLE_COLUMNS, UNIQUE_PROPERTIES
 from dotledger.operators import consolidation as C
+from dotledger.operators.ordered import running_sum
 from dotledger.operators.packed import with_items
 from dotledger.operators.text_stages import squash
 from dotledger.plans.session import read_table
@@ -202,7 +203,7 @@ def sentence_candidates(spark, folder):
     """Distinct sentences of a paper without case and spacing, numbered by their first place."""
     s = read_table(spark, folder, "decisions").filter("pdf_name is not null and coalesce(trim(text), '') <> ''")
     g = s.groupBy("pdf_name", C.case_space_key(F.col("text")).alias("k")).agg(F.min("sent_uid").alias("first"), F.count("*").alias("n"))
-    return g.select("pdf_name", "first", "n", F.row_number().over(Window.partitionBy("pdf_name").orderBy("first")).cast("bigint").alias("candidate"))
+    return running_sum(g.select("pdf_name", "first", "n"), ["pdf_name"], ["first"], "first", {"candidate": F.lit(1)})
 
 
 def pair_promotion(spark, folder):

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from dotledger.functions import rules
 from dotledger.operators import text_stages as T
+from dotledger.operators.ordered import framed, join_safe, running_sum
 from dotledger.plans.session import read_table, spread
 
 #: A sentence's place; a repeated sentence is told apart by its own id.
@@ -91,7 +92,7 @@ def candidate_sentences(spark, folder):
 
 def table_neighbourhood(spark, folder):
     """Sentences within seven of a figure or table row."""
-    s = T.near_rows(_sentences(spark, folder), ["pdf_name"], ORDER, F.coalesce("is_figure", F.lit(False)), 7)
+    s = T.near_rows(_sentences(spark, folder), ["pdf_name"], ORDER, F.coalesce("is_figure", F.lit(False)), 7, "sent_global_id")
     return s.filter("near").select("sent_uid")
 
 
@@ -109,13 +110,14 @@ def island_seeds(spark, folder):
     return g.select("pdf_name", "para_global_id", F.col("island").cast("bigint").alias("island"), F.element_at("p", F.floor(F.size("p") / 2).cast("int") + 1).cast("bigint").alias("seed_pos"))
 
 
+def _beside(sentences: DataFrame) -> DataFrame:
+    """Adds before and after: the texts of the sentences beside each in its document."""
+    return framed(sentences, ["pdf_name"], ORDER, "sent_global_id", 1, lambda w: {"before": F.lag("text").over(w), "after": F.lead("text").over(w)})
+
+
 def single_windows(spark, folder):
     """A lone candidate's small window: itself, then the sentence before and the one after in the document."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("pdf_name").orderBy(*ORDER)
-    s = _sentences(spark, folder).withColumns({"before": F.lag("text").over(w), "after": F.lead("text").over(w)})
-    s = s.filter(F.col("window_level") == "SMALL")
+    s = _beside(_sentences(spark, folder).select("sent_uid", "pdf_name", "sent_global_id", "window_level", "text")).filter(F.col("window_level") == "SMALL")
     return s.select("sent_uid", F.concat_ws(" ", "text", "before", "after").alias("window_text"))
 
 
@@ -126,11 +128,9 @@ def _spans(sentences: DataFrame, member: Column, gap: Column, seed: Column, leas
     of the member before (prev_pos, prev_sid). Its span is padded to `least` sentences; left: how many of the needed ones are taken on the
     left, of those needed and those there on the left and on the right. members is 1 for a seed without an island.
     """
-    from pyspark.sql import Window
-
     place = ["pdf_name", "para_global_id"]
-    d, w, m = (Window.partitionBy(*k).orderBy(*ORDER) for k in (["pdf_name"], place, [*place, "member"]))
-    s = sentences.withColumns({"before": F.lag("text").over(d), "after": F.lead("text").over(d), "pos": F.row_number().over(w), "member": member})
+    w, m = (Window.partitionBy(*k).orderBy(*ORDER) for k in (place, [*place, "member"]))
+    s = _beside(sentences).withColumns({"pos": F.row_number().over(w), "member": member})
     s = s.withColumns({"prev_pos": F.lag("pos").over(m), "prev_sid": F.lag("sent_global_id").over(m)})
     s = s.withColumn("island", F.sum(F.when(F.col("prev_pos").isNull() | gap, 1).otherwise(0)).over(m.rowsBetween(Window.unboundedPreceding, 0)))
     i = Window.partitionBy(*place, "member", "island")
@@ -173,12 +173,9 @@ def refine_windows(spark, folder):
 
 def extended_windows(spark, folder):
     """Paragraphs of at most seven sentences with the last five of the one before and the first five of the one after."""
-    from pyspark.sql import Window
-
     item = F.struct(*ORDER, F.coalesce("text", F.lit("")).alias("x"))
     p = _sentences(spark, folder).groupBy("pdf_name", "para_global_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["x"]).alias("s"))
-    w = Window.partitionBy("pdf_name").orderBy("para_global_id")
-    p = p.withColumns({"b": F.lag("s").over(w), "a": F.lead("s").over(w)})
+    p = framed(p, ["pdf_name"], ["para_global_id"], "para_global_id", 1, lambda w: {"b": F.lag("s").over(w), "a": F.lead("s").over(w)})
     last5 = F.when(F.size("b") > 5, F.slice("b", -5, 5)).otherwise(F.col("b"))
     ext = F.concat_ws(" || ", F.array_join(last5, " "), F.array_join("s", " "), F.array_join(F.slice("a", 1, 5), " "))
     return p.select("pdf_name", "para_global_id", F.size("s").cast("bigint").alias("sentences"), F.when(F.size("s") <= 7, ext).otherwise(F.array_join("s", " ")).alias("window_text"))
@@ -189,11 +186,10 @@ def paragraph_assembly(spark, folder):
 
 
 def dense_ids(spark, folder):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("pdf_name").orderBy(*ORDER)
-    s = _sentences(spark, folder)
-    return s.select("sent_uid", F.dense_rank().over(Window.partitionBy("pdf_name").orderBy("block_id", "para_id_in_block")).cast("bigint").alias("para_no"), F.row_number().over(w).cast("bigint").alias("sent_no"))
+    s = _sentences(spark, folder).select("sent_uid", "pdf_name", "sent_global_id", "block_id", "para_id_in_block")
+    place = ["pdf_name", "block_id", "para_id_in_block"]
+    paragraphs = running_sum(s.select(*place).distinct(), ["pdf_name"], place[1:], "block_id", {"para_no": F.lit(1)})
+    return join_safe(running_sum(s, ["pdf_name"], ORDER, "sent_global_id", {"sent_no": F.lit(1)}), paragraphs, place).select("sent_uid", "para_no", "sent_no")
 
 
 def chunk_pack(spark, folder):

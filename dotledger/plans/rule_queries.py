@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, Window, functions as F
+from pyspark.sql import Column, functions as F
 
 from dotledger.functions import answers, latex
 from dotledger.functions.rules import NUMERIC_PATTERNS, NUMERIC_PROPERTIES, PROPERTY_ORDER
@@ -152,20 +152,7 @@ def abbreviations(spark, folder):
     return s.select("sent_uid", F.explode(F.array_distinct(pairs)).alias("short")).groupBy("short").agg(F.count("*").alias("sentences"))
 
 
-def latest_by_window(spark, folder):
-    """Events per hour and type, as the stream counts them."""
-    e = read_table(spark, folder, "events")
-    return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("n"))
-
-
-def previous_rows(spark, folder):
-    """Each extraction row with the method of the paper's row before."""
-    r = read_table(spark, folder, "letter_table").filter("doc_id is not null")
-    w = Window.partitionBy("doc_id").orderBy("extraction_no", "row_no", "row_uid")
-    return r.select("row_uid", F.lag("Synthesis_Method").over(w).alias("before"))
-
-
-QUERIES = {f.__name__: f for f in (section_stabilize, latex_units, answer_decisions, tag_canonical, chiral_names, condition_values, first_numbers, numeric_evidence, numeric_evidence_whole, no_digit_filter, hit_assign, route_split, field_fill, value_signatures, percent_scaling, abbreviations, latest_by_window, previous_rows)}
+QUERIES = {f.__name__: f for f in (section_stabilize, latex_units, answer_decisions, tag_canonical, chiral_names, condition_values, first_numbers, numeric_evidence, numeric_evidence_whole, no_digit_filter, hit_assign, route_split, field_fill, value_signatures, percent_scaling, abbreviations)}
 #: The same over the tags of all cells, however they are packed, of which the SQL splits a part.
 QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_canonical, no_digit_filter, hit_assign, route_split)}
 
@@ -189,6 +176,4 @@ ORACLE = {
     "value_signatures": "SELECT l_orderkey, string_agg(CAST(q AS VARCHAR), ';' ORDER BY q) || ' ns' AS signature FROM (SELECT DISTINCT l_orderkey, CAST(l_quantity AS INT) AS q FROM lineitem) GROUP BY 1",
     "percent_scaling": "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_discount < 1 AND l_returnflag <> 'A' THEN round(l_discount * 100, 6) ELSE l_discount END AS percent FROM lineitem",
     "abbreviations": "SELECT short, count(*) AS sentences FROM (SELECT DISTINCT sent_uid, unnest(regexp_extract_all(text, '\\(([A-Z][A-Za-z]{1,11})\\)', 1)) AS short FROM decisions WHERE text IS NOT NULL) GROUP BY 1",
-    "latest_by_window": "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "previous_rows": "SELECT row_uid, lag(Synthesis_Method) OVER (PARTITION BY doc_id ORDER BY extraction_no, row_no, row_uid) AS before FROM letter_table WHERE doc_id IS NOT NULL",
 }
