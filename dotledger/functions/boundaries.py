@@ -98,20 +98,28 @@ def straight_quotes(c: Column) -> Column:
     return F.translate(c, *QUOTES)
 
 
+#: White space of any kind, as names have it.
+_BLANK = "[\\s\\p{Z}]"
+
+
+def _squashed(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(c, f"{_BLANK}+", " "), "^ | $", "")
+
+
 def token_key(c: Column) -> Column:
     """Lower case, one space for white space, no full stops outside."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(c), "\\s+", " "), "^ | $", ""), "^\\.+|\\.+$", "")
+    return F.regexp_replace(_squashed(F.lower(c)), "^\\.+|\\.+$", "")
 
 
 def full_name(c: Column, most: int = 8) -> Column:
     """A long form without closing marks, its last `most` words."""
-    words = F.filter(F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "\\s+", " "), "^ | $", ""), "[.,;:!?）\\]]+$", ""), " "), lambda w: w != "")
+    words = F.filter(F.split(F.regexp_replace(_squashed(c), "[.,;:!?）\\]]+$", ""), " "), lambda w: w != "")
     return token_key(F.array_join(F.slice(words, F.greatest(F.size(words) - most + 1, F.lit(1)), most), " "))
 
 
 def bare_name(c: Column) -> Column:
     """A sample's name without Markdown emphasis, zero-width characters and quotes around it."""
-    plain = F.regexp_replace(F.regexp_replace(c, "[\\u200b\\u2009\\u202f*`]", ""), "\\s+", " ")
+    plain = _squashed(F.regexp_replace(c, "[\\u200b\\u2009\\u202f*`]", ""))
     for wrap in ("__", "~~", "_"):
-        plain = F.regexp_replace(F.trim(plain), f"^{wrap}(.*){wrap}$", "$1")
+        plain = F.regexp_replace(plain, f"^{wrap}(.*){wrap}$", "$1")
     return F.regexp_replace(plain, "^[\\s'\"“”‘’]+|[\\s'\"“”‘’]+$", "")

@@ -352,3 +352,10 @@ ORACLE = {
     "acronyms": f"SELECT v, NOT contains(v, ' ') AND length(regexp_replace(v, '[.\\-]', '', 'g')) BETWEEN 2 AND 12 AND regexp_matches(v, '[A-Za-z]') AS acronym FROM (SELECT DISTINCT unnest(regexp_split_to_array(coalesce(Solvent, ''), '[,;]\\s*')) AS v FROM ({_R})) WHERE v <> ''",
     "method_forms": f"SELECT lower(m) AS method, count(*) AS n, count(DISTINCT m) AS spellings FROM (SELECT {_sq('Synthesis_Method')} AS m FROM ({_R}) WHERE NOT {_empty('Synthesis_Method')}) GROUP BY 1",
 }
+#: The tags of all cells: whatever packs them, a tag is a word of its own.
+_TAGS_WHOLE = _TAGS.replace("regexp_split_to_array(LLM_props, '[;,|/]\\s*')", f"regexp_extract_all(LLM_props, '\\b({'|'.join(PROPERTY_ORDER)})\\b')")
+ORACLE |= {f"{n}_whole": ORACLE[n].replace(_TAGS, _TAGS_WHOLE) for n in ("tag_union", "property_pivot")}
+ORACLE["main_dedup_whole"] = ORACLE["main_dedup"].replace("string_split(coalesce(LLM_props, ''), ';')", f"regexp_extract_all(coalesce(LLM_props, ''), '\\b({'|'.join(PROPERTY_ORDER)})\\b')")
+ORACLE["candidate_samples_whole"] = f"""WITH s AS (SELECT DISTINCT pdf_name, para_global_id, nullif({_SIGQ.format("coalesce(LLM_name, '')")}, '') AS sig FROM decisions WHERE pdf_name IS NOT NULL), n AS (SELECT DISTINCT doc_id, {_SIGQ.format('CDs_Naming_in_Paper')} AS sig, CDs_Naming_in_Paper AS sample FROM ({_R}) WHERE NOT {_empty('CDs_Naming_in_Paper', C.EMPTY_PROPERTY)}),
+ g AS (SELECT pdf_name, para_global_id, list_sort(list(sample) FILTER (sample IS NOT NULL)) AS l FROM s LEFT JOIN n ON n.doc_id = s.pdf_name AND n.sig = s.sig WHERE pdf_name IN (SELECT doc_id FROM n) GROUP BY 1, 2)
+ SELECT pdf_name, para_global_id, CASE WHEN len(l) >= 2 THEN 'matched' ELSE 'all' END AS scope, CASE WHEN len(l) >= 2 THEN l END AS samples FROM g"""

@@ -159,6 +159,8 @@ QUERIES |= {f"{f.__name__}_whole": partial(f, whole=True) for f in (tag_canonica
 _T = f"(SELECT * FROM (SELECT sent_uid, pdf_name, para_global_id, sent_global_id, main_section_norm, LLM_name, text, unnest(regexp_split_to_array(LLM_props, '[;,|/]\\s*')) AS tag FROM decisions WHERE pdf_name IS NOT NULL) WHERE tag IN ({', '.join(repr(t) for t in PROPERTY_ORDER)}))"
 _NUM = ", ".join(repr(t) for t in NUMERIC_PROPERTIES)
 _EMPTY = "(Solvent_Volume IS NULL OR upper(trim(Solvent_Volume)) IN (" + ", ".join(repr(w) for w in C.EMPTY_PROPERTY) + "))"
+#: The tags of all cells: whatever packs them, a tag is a word of its own.
+_TW = f"(SELECT sent_uid, pdf_name, para_global_id, sent_global_id, main_section_norm, LLM_name, text, unnest(regexp_extract_all(LLM_props, '\\b({'|'.join(PROPERTY_ORDER)})\\b')) AS tag FROM decisions WHERE pdf_name IS NOT NULL)"
 ORACLE = {
     "latex_units": "SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_quantity AS INT) AS VARCHAR) || ' μL at ' || CAST(l_partkey % 300 AS VARCHAR) || '°C, 5 mL, 3%' AS plain FROM lineitem",
     "answer_decisions": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'YES' ELSE 'NO' END AS decision, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS value, o_orderstatus IN ('F', 'O') AS kept FROM orders",
@@ -177,3 +179,8 @@ ORACLE = {
     "percent_scaling": "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_discount < 1 AND l_returnflag <> 'A' THEN round(l_discount * 100, 6) ELSE l_discount END AS percent FROM lineitem",
     "abbreviations": "SELECT short, count(*) AS sentences FROM (SELECT DISTINCT sent_uid, unnest(regexp_extract_all(text, '\\(([A-Z][A-Za-z]{1,11})\\)', 1)) AS short FROM decisions WHERE text IS NOT NULL) GROUP BY 1",
 }
+ORACLE |= {f"{n}_whole": ORACLE[n].replace(_T, _TW) for n in ("tag_canonical", "no_digit_filter", "hit_assign", "route_split")}
+_BY_TAG = lambda c: "CASE tag " + " ".join(f"WHEN '{t}' THEN regexp_extract_all({c}, '(?i){p.replace(chr(92) + 'b', '(?:[^' + chr(92) + 'pL' + chr(92) + 'pN_]|$)').replace(chr(92) + 'd', chr(92) + 'p{Nd}')}', 1)" for t, p in NUMERIC_PATTERNS.items()) + " END"
+ORACLE["numeric_evidence_whole"] = f"""WITH s AS (SELECT * FROM decisions WHERE pdf_name IS NOT NULL AND text IS NOT NULL), t AS (SELECT *, {_BY_TAG('text')} AS n FROM {_TW} WHERE tag IN ({_NUM}) AND text IS NOT NULL),
+ o AS (SELECT t.sent_uid, t.tag, string_agg(s.text, ' ' ORDER BY s.sent_global_id, s.sent_uid) AS e FROM (SELECT DISTINCT sent_uid, tag, pdf_name, para_global_id FROM t) t JOIN s ON s.pdf_name = t.pdf_name AND s.para_global_id IS NOT DISTINCT FROM t.para_global_id AND s.sent_uid <> t.sent_uid GROUP BY 1, 2)
+ SELECT t.sent_uid, t.tag, len(n) > 0 AS valid, len(n) > 0 AND len(list_filter(n, lambda x: NOT contains(coalesce(e, ''), x))) = 0 AS confirmed FROM t LEFT JOIN o ON o.sent_uid = t.sent_uid AND o.tag = t.tag"""

@@ -67,5 +67,5 @@ def test_boundary_columns(spark):
     assert df.select(kept).first()[0] == "Found by Li et al. [3] in Fig. 2. of it, etc. (Eq. (5))" and B.MARK in df.select(B.protect_abbreviations(F.col("t"))).first()[0]
     names = spark.createDataFrame([("**`N-CDs`**",), ("_x_",), ("“CD 1”",)], "t string")
     assert [r[0] for r in names.select(B.bare_name(F.col("t"))).collect()] == ["N-CDs", "x", "CD 1"]
-    full = spark.createDataFrame([("We used the well known one two three four five citric acid ).",)], "t string")
+    full = spark.createDataFrame([("We used the well known one two three four five citric acid ].",)], "t string")
     assert full.select(B.full_name(F.col("t"))).first()[0] == "known one two three four five citric acid"

@@ -5,9 +5,9 @@ import math
 import duckdb
 import pytest
 
-from dotledger.plans import consolidation_queries, evidence_queries, rule_queries
+from dotledger.plans import consolidation_queries, document_queries, evidence_queries, property_queries, rule_queries
 
-PACKS = {n: pack for pack in (evidence_queries, consolidation_queries, rule_queries) for n in pack.ORACLE}
+PACKS = {n: pack for pack in (evidence_queries, document_queries, consolidation_queries, rule_queries, property_queries) for n in pack.ORACLE}
 
 
 def _plain(value):
