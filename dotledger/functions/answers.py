@@ -52,10 +52,11 @@ def balanced(text: str, opener: str = "{") -> str | None:
     depth, quoted, escaped = 0, False, False
     for k in range(start, len(text)):
         c = text[k]
-        if quoted:
-            escaped = not escaped and c == "\\"
-            if c == '"' and not (escaped or text[k - 1] == "\\" and k - 1 > start and text[k - 2] != "\\"):
-                quoted = False
+        if escaped:
+            escaped = False
+        elif quoted:
+            escaped = c == "\\"
+            quoted = c != '"'
         elif c == '"':
             quoted = True
         elif c == opener:

@@ -8,6 +8,7 @@ from dotledger.functions import boundaries as B
 from dotledger.operators import blocks
 from dotledger.plans.evidence_queries import _FOLD, _SECTION
 from dotledger.plans.session import read_table
+from dotledger.sources import documents
 
 
 def _texts(spark, folder):
@@ -69,7 +70,13 @@ def segment_chain(spark, folder):
     return blocks.document_sentences(_markdown(spark, folder), "doc_id", "md", by_segments=True)
 
 
-QUERIES = {f.__name__: f for f in (boundary_tests, abbreviations_protected, references_protected, mark_cuts, blank_cuts, name_forms, markdown_blocks, paragraph_chain, segment_chain)}
+def abbreviation_pairs(spark, folder):
+    """Short forms with the long forms that documents give them, and in how many documents."""
+    found = documents.abbreviation_scan(read_table(spark, folder, "documents"), "doc_id", "text")
+    return found.groupBy("short", "long").agg(F.count_distinct("doc_id").alias("documents"), F.count("*").alias("n"))
+
+
+QUERIES = {f.__name__: f for f in (abbreviation_pairs, boundary_tests, abbreviations_protected, references_protected, mark_cuts, blank_cuts, name_forms, markdown_blocks, paragraph_chain, segment_chain)}
 
 
 def _q(x: str) -> str:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dotledger.functions.rules import TABLE_COLUMNS
+from dotledger.functions.tables import abbreviations, pipe_table
+from dotledger.plans.session import ship_package
 
 
 def scan_documents(spark: SparkSession, root: str, start_from: int | None = None, ids: list[str] | None = None) -> DataFrame:
@@ -68,6 +73,34 @@ def extraction_tables(texts: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "extraction_no", "row_no", *(F.element_at("c", i + 1).alias(name) for i, name in enumerate(TABLE_COLUMNS)))
 
 
+def valid_tables(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (key, row_no, the table's columns) of each text's first pipe table of which every row has the ten columns, without its header; a table
+    with any other row is passed over."""
+    ship_package(texts.sparkSession)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, i, *r) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t for i, r in enumerate(pipe_table(t)[1:])]
+            cols = list(zip(*rows)) or [()] * (2 + len(TABLE_COLUMNS))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.string()] * len(TABLE_COLUMNS)))], [key, "row_no", *TABLE_COLUMNS])
+
+    return texts.select(F.col(key).cast("string").alias(key), F.col(text).cast("string").alias("_t")).mapInArrow(parse, f"`{key}` string, row_no int, " + ", ".join(f"{c} string" for c in TABLE_COLUMNS))
+
+
+def abbreviation_scan(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (key, pos, short, long, context) of the abbreviations that each text explains in brackets, in order."""
+    ship_package(texts.sparkSession)
+    dtype = dict(texts.dtypes)[key]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, k, *a) for i, t in enumerate(batch.column(1).to_pylist()) if t for k, a in enumerate(abbreviations(t))]
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int32())), *(pa.array(c, t) for c, t in zip(cols[1:], (pa.int32(), *[pa.string()] * 3)))], [key, "pos", "short", "long", "context"])
+
+    return texts.select(key, F.col(text).cast("string").alias("_t")).mapInArrow(scan, f"`{key}` {dtype}, pos int, short string, long string, context string")
+
+
 def html_tables(texts: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, table_no, row_no, cells array<string>) of HTML tables, cells padded to the widest row of their table."""
     tables = texts.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit("(?is)<table[^>]*>.*?</table>"), 0)).alias("table_no", "t"))
