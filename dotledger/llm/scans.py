@@ -233,10 +233,11 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
     `words` has (word, before, after): each word with its neighbours, as often as it stands. The parts of a hyphenated word are words of their own.
     """
     hyphenated = F.col("word").contains("-")
-    part = lambda w, b, a: F.struct(w.alias("word"), b.alias("before"), a.alias("after"))
-    parts = F.transform(F.split("word", "-"), lambda w: part(w, F.lit(""), F.lit("")))
-    whole, words = words, words.select(F.inline(F.when(hyphenated, parts).otherwise(F.array(part(F.col("word"), F.col("before"), F.col("after"))))))
-    counted = words.groupBy("word").agg(F.count("*").alias("m")).filter((F.length("word") > 1) & F.col("word").rlike("\\p{L}"))
+    # Every word with its neighbours once, with its count: all that follows reads this instead of the documents' facts.
+    whole = cut(words.groupBy("word", "before", "after").agg(F.count("*").alias("times")))
+    pieces = whole.filter(hyphenated).select(F.explode(F.split("word", "-")).alias("word"), F.lit("").alias("before"), F.lit("").alias("after"), "times")
+    words = whole.filter(~hyphenated).unionAll(pieces)
+    counted = words.groupBy("word").agg(F.sum("times").alias("m")).filter((F.length("word") > 1) & F.col("word").rlike("\\p{L}"))
     # Undamaged text has most words more often than the scans, which are the smaller part.
     strange = counted.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n < m").select("word", "m", F.col("n").alias("own"))
 
@@ -259,7 +260,7 @@ def _settle_words(words: DataFrame, known: DataFrame) -> DataFrame:
     least = Window.partitionBy("word")
     pairs = cut(pairs.withColumn("least", F.min("cost").over(least)).filter("cost = least").drop("least"))
     # Support: how many of the word's neighbours the form has elsewhere.
-    sides = words.select("word", F.explode(F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after"))).alias("near")).filter("length(near) > 1").distinct()
+    sides = words.select("word", F.concat(F.lit("<"), "before").alias("near")).unionAll(words.select("word", F.concat(F.lit(">"), "after").alias("near"))).filter("length(near) > 1").distinct()
     theirs = pairs.select("word", "right").join(sides, "word")
     support = theirs.join(sides.withColumnRenamed("word", "right"), ["right", "near"], "left_semi").groupBy("word", "right").agg(F.count("*").alias("support"))
     pairs = pairs.join(support, ["word", "right"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
