@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dotledger.functions import rules
 from dotledger.operators.ordered import framed, join_safe, running_sum
-from dotledger.plans.session import ship_package
+from dotledger.plans.session import cut, ship_package
 
 
 def squash(c: Column) -> Column:
@@ -152,7 +152,7 @@ def pack_chunks(df: DataFrame, document: str, group: list[str], order: list[str]
     ship_package(df.sparkSession)
     key = F.concat_ws("\u0001", *(F.coalesce(F.col(g).cast("string"), F.lit("")) for g in group))
     rows = df.select(document, *order, F.col(tokens).cast("bigint").alias(tokens), key.alias("_k"))
-    rows = framed(rows, [document], order, order[0], 1, lambda w: {"_b": F.lag("_k").over(w)})
+    rows = cut(framed(rows, [document], order, order[0], 1, lambda w: {"_b": F.lag("_k").over(w)}))  # what follows reads it twice
     rows = running_sum(rows, [document], order, order[0], {"_run": F.when(F.col("_k").eqNullSafe(F.col("_b")), 0).otherwise(1)}).drop("_k", "_b")
     sorted_rows = rows.repartition(document, "_run").sortWithinPartitions(document, "_run", *order)
     names = [document, *order, tokens, "_run"]
@@ -172,7 +172,7 @@ def pack_chunks(df: DataFrame, document: str, group: list[str], order: list[str]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64())], [*names, "_local"])
 
     types = dict(sorted_rows.dtypes)
-    packed = sorted_rows.select(*names).mapInArrow(fold, ", ".join([*(f"`{c}` {types[c]}" for c in names), "_local bigint"]))
+    packed = cut(sorted_rows.select(*names).mapInArrow(fold, ", ".join([*(f"`{c}` {types[c]}" for c in names), "_local bigint"])))
     runs = running_sum(packed.groupBy(document, "_run").agg(F.max("_local").alias("_n")), [document], ["_run"], "_run", {"_sum": F.col("_n")})
     runs = runs.select(document, "_run", (F.col("_sum") - F.col("_n")).alias("_off"))
     return join_safe(packed, runs, [document, "_run"]).select(document, *order, tokens, (F.col("_local") + F.col("_off")).alias("chunk"))
